@@ -7,14 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_current"
+POINTER = "CURRENT"
 
 
 class TargetStore:
     """Target tables under one folder of a file system Spark can reach.
 
     Every refresh writes a new folder ``<root>/<table>/<run>``.  Once it has
-    been checked, ``<root>/<table>/_current`` is pointed at it, so a reader
+    been checked, ``<root>/<table>/CURRENT`` is pointed at it, so a reader
     sees the old table or the new one and a failed run changes nothing.
     """
 

@@ -10,38 +10,35 @@ RISK_FACTOR_SCHEMA = "ICD10 string, Risk_Factor string"
 
 
 def read_code_list(spark: SparkSession, path: str, schema: str = RISK_FACTOR_SCHEMA) -> DataFrame:
-    """Read one CSV file, adding ``line_no``, the dense position of each row in it.
+    """Read a CSV file (or a folder of them), adding ``line_no``, the position of each row.
 
-    Spark cuts a file into consecutive splits, so a row's position is its place
-    in its split plus the size of the splits before it.  Only the split sizes
-    (one row per split) are gathered.
+    A row's position is its place in its piece of a file plus the sizes of the
+    pieces before it.  Only one row per piece is gathered to add those up.
     """
     rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .csv(path)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_split", F.shiftright("_id", 33))
-        .withColumn("_place", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    before = (
-        rows.groupBy("_split")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(
-            "_before",
-            F.coalesce(
-                F.sum("_rows").over(
-                    Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
+        .select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
         )
-        .select("_split", "_before")
     )
-    return rows.join(before, "_split").select(
+    in_order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = rows.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first")
+    )
+    shifts = pieces.select(
+        "_file",
+        "_block",
+        (F.coalesce(F.sum("_rows").over(in_order), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    )
+    return rows.join(shifts, ["_file", "_block"]).select(
         *[c for c in rows.columns if not c.startswith("_")],
-        (F.col("_before") + F.col("_place") + 1).alias("line_no"),
+        (F.col("_id") + F.col("_shift")).alias("line_no"),
     )
 
 
