@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: what counts as a plain number (fixed value): no exponent, no separators
@@ -21,6 +21,13 @@ def null_of(data_type: str) -> Column:
     return F.lit(None).cast(data_type)
 
 
+def as_timestamp(rows: DataFrame, column: str) -> Column:
+    """A date column as a timestamp; text is read as YYYYMMDD."""
+    if dict(rows.dtypes)[column] == "string":
+        return F.to_timestamp_ntz(column, F.lit("yyyyMMdd"))
+    return F.col(column).cast("timestamp_ntz")
+
+
 def recode(value: Column | str, codes: Mapping[str, str], default: str) -> Column:
     """Replace a code; NULL and unlisted codes become ``default``."""
     value = as_column(value)

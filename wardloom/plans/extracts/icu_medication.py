@@ -35,14 +35,14 @@ def build(catalog: Catalog, params: Params) -> DataFrame:
         .withColumn("icu_encounter_identifier", normalise_id("wardstay_id"))
         .join(periods, F.col("icu_encounter_identifier") == F.col("period"), "left_semi")
     )
+    # neither the ward stay nor the drug class is read, but each match repeats the row
+    medication = left_lookup(medication, catalog["TRANSFERS"], "wardstay_id", "ID")
+    medication = medication.join(product_classes(catalog).select("product_id"), "product_id")
     rows = events.join(medication, "medication_id")
     rows = left_lookup(
         rows, catalog["MF_DOSAGE_ASSIST_ROUTE_OF_ADMINISTRATION_WHO"], "roa", "reference", route="name"
     )
     rows = left_lookup(rows, catalog["MF_DOSAGE_ASSIST_FORM_CODES_WHO"], "form_code", "CODE", form_name="Name")
-    # neither the ward stay nor the drug class is read, but each match repeats the row
-    rows = left_lookup(rows, catalog["TRANSFERS"], "wardstay_id", "ID")
-    rows = rows.join(product_classes(catalog).select("product_id"), "product_id")
     return rows.select(
         "uhl_system_number",
         "icu_encounter_identifier",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.functions.scalars import null_of
+from wardloom.functions.scalars import as_timestamp, null_of
 from wardloom.operators.joins import current, inner_lookup, left_lookup
 from wardloom.params import Params
 from wardloom.plans.spells import spell_episodes
@@ -15,10 +15,11 @@ from wardloom.sources.lookup import concat_by_code
 
 def build(catalog: Catalog, params: Params) -> DataFrame:
     """``risk_factor_codes`` is a code list as read by ``sources.lookup``."""
-    diagnoses = catalog["DIAGNOSES"].select(
+    source = catalog["DIAGNOSES"]
+    diagnoses = source.select(
         F.col("CONSULTANT_EPISODES_ID").alias("episode_identifier"),
         F.col("WHO_DIAGNOSIS_CODE").alias("icd_code"),
-        F.col("DIAGNOSIS_DATE").cast("timestamp_ntz").alias("risk_factor_date_time"),
+        as_timestamp(source, "DIAGNOSIS_DATE").alias("risk_factor_date_time"),
     )
     # the code list first: it removes most diagnoses before the episodes are joined
     rows = inner_lookup(

@@ -31,6 +31,12 @@ FROM_SPELLS = {
     "riskfactors",
 }
 
+#: order of the rows in the files of a target
+ORDER = {
+    "episodes": (KEY, "spell_identifier", "order_no_of_episode"),
+    "transfer": (KEY, "ward_start_date_time"),
+}
+
 
 def check_target(table: str):
     """The checks a target table has to pass before it is published."""
@@ -55,7 +61,7 @@ def refresh(table: str, catalog: Catalog, store: TargetStore, params: Params) ->
         check_code_list(concat_by_code(catalog["risk_factor_codes"]))
     rows = EXTRACTS[table](catalog, params)
     require_contract(rows, table)
-    published = store.replace(table, rows, check_target(table))
+    published = store.replace(table, rows, check_target(table), ORDER.get(table, ()))
     if table == "demographics":
         update_registry(published, store, params)
     return published

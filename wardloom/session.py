@@ -10,8 +10,10 @@ SETTINGS = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     # data errors raise, as they do in the warehouse
     "spark.sql.ansi.enabled": "true",
-    # join sides are broadcast only when Spark has measured them to be small;
-    # hot keys in larger joins are split at run time
+    # join sides are broadcast only when Spark finds them to be small, counting a
+    # file as four times its compressed size; hot keys in larger joins are split
+    # at run time, even where a later step then needs another shuffle
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

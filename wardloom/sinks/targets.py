@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,10 +45,19 @@ class TargetStore:
         return self.spark.read.parquet(path)
 
     def replace(
-        self, table: str, rows: DataFrame, check: Callable[[DataFrame], None] | None = None
+        self,
+        table: str,
+        rows: DataFrame,
+        check: Callable[[DataFrame], None] | None = None,
+        order: Sequence[str] = (),
     ) -> DataFrame:
-        """Write, check, publish; return the published table."""
+        """Write, check, publish; return the published table.
+
+        ``order`` sorts the rows of each file, not the table as a whole.
+        """
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
+        if order:
+            rows = rows.sortWithinPartitions(*order)
         rows.write.parquet(path)
         written = self.spark.read.parquet(path)
         if check:
