@@ -9,13 +9,17 @@ from wardloom.functions.scalars import null_of
 from wardloom.operators.joins import current, inner_lookup
 from wardloom.operators.timeline import largest_group, sequence_in_group
 from wardloom.params import Params
-from wardloom.plans.spells import spell_episodes
+from wardloom.plans.spells import consultant_episodes, spells
 from wardloom.sources.catalog import Catalog
 
 
 def episode_rows(catalog: Catalog, params: Params) -> DataFrame:
-    """Episodes whose four codes are all current; the others are left out."""
-    rows = spell_episodes(catalog, params)
+    """Episodes whose four codes are all current; the others are left out.
+
+    The codes of a spell are looked up before its episodes are joined, and the
+    numbering then runs on the partitioning of that join.
+    """
+    rows = spells(catalog, params)
     rows = inner_lookup(
         rows,
         current(catalog["MF_METHOD_OF_ADMISSION"]),
@@ -40,6 +44,7 @@ def episode_rows(catalog: Catalog, params: Params) -> DataFrame:
         discharge_method="NC_DISCHARGE_METHOD",
         discharge_method_desc="NC_DISCHARGE_METHOD_NAME",
     )
+    rows = rows.join(consultant_episodes(catalog), "spell_identifier")
     return inner_lookup(
         rows,
         current(catalog["MF_SPECIALTY"]),

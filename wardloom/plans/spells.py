@@ -42,15 +42,20 @@ def spells(catalog: Catalog, params: Params) -> DataFrame:
     )
 
 
-def spell_episodes(catalog: Catalog, params: Params) -> DataFrame:
-    """``spells`` with one row per consultant episode."""
-    if SPELL_EPISODES in catalog:
-        return catalog[SPELL_EPISODES]
-    episodes = catalog["CONSULTANT_EPISODES"].select(
+def consultant_episodes(catalog: Catalog) -> DataFrame:
+    return catalog["CONSULTANT_EPISODES"].select(
         F.col("ADMISSIONS_ID").alias("spell_identifier"),
         F.col("ID").alias("episode_identifier"),
         F.col("CONS_EPISODE_START_DATE_TIME").alias("episode_start_time"),
         F.col("CONS_EPISODE_END_DATE_TIME").alias("episode_end_time"),
         F.col("SPECIALTY_CODE").alias("specialty_code"),
     )
-    return spells(catalog, params).join(episodes, "spell_identifier")
+
+
+def spell_episodes(catalog: Catalog, params: Params) -> DataFrame:
+    """Keys of patient, spell and episode, one row per consultant episode."""
+    if SPELL_EPISODES in catalog:
+        return catalog[SPELL_EPISODES]
+    keys = spells(catalog, params).select("uhl_system_number", "spell_identifier")
+    episodes = consultant_episodes(catalog).select("spell_identifier", "episode_identifier")
+    return keys.join(episodes, "spell_identifier")

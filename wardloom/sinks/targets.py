@@ -66,10 +66,21 @@ class TargetStore:
         return written
 
     def _point(self, table: str, path: str) -> None:
-        fs, pointer = self._file_system(f"{self.root}/{table}/{POINTER}")
-        out = fs.create(pointer, True)
+        """Write the pointer beside the old one and put it in its place in one step."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        new = f"{self.root}/{table}/{POINTER}.{uuid.uuid4().hex}"
+        fs, new_path = self._file_system(new)
+        out = fs.create(new_path, True)
         out.write(bytearray(path.encode()))
         out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/{POINTER}")
+        context.rename(fs.makeQualified(new_path), fs.makeQualified(pointer), options)
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows to a table that is never replaced."""
