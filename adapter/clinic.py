@@ -515,8 +515,8 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
         [
             "event_id as visitid",
             f"{USER_KEY} as uhl_system_number",
-            "date_trunc('HOUR', ts) as arrival_datetime",
-            "case when event_id % 5 <> 0 then " + _hours("date_trunc('HOUR', ts)", "3") + " end"
+            "cast(date_trunc('HOUR', ts) as timestamp_ntz) as arrival_datetime",
+            "case when event_id % 5 <> 0 then " + _hours("cast(date_trunc('HOUR', ts) as timestamp_ntz)", "3") + " end"
             " as departure_datetime",
             "case when event_id % 6 <> 0 then cast(event_id % 3 as int) end as arrival_mode_code",
             "event_type as arrival_mode_text",

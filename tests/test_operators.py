@@ -81,7 +81,7 @@ def test_sequence_against_brute_force(spark, hot):
         expected += [(*d, n) for n, d in enumerate(members, 1)]
     got = timeline.sequence_in_group(df, ["g"], ["t", "id"], "n", hot=hot)
     assert got.columns == ["g", "t", "id", "n"]
-    assert dict(got.dtypes)["n"] == "int"
+    assert dict(got.dtypes)["n"] == "bigint"
     assert rows(got) == sorted(expected, key=repr)
 
 

@@ -54,5 +54,12 @@ def test_command_line(spark, tmp_path, capsys):
     main(["refresh", *common, "--tables", "emergency", "observations"])
     got = TargetStore(spark, store).read("emergency")
     assert rows(got) == rows(EXTRACTS["emergency"](catalog, clinic.EVENT_PARAMS))
+    main(["refresh", *common, "--tables", "emergency", "--prune"])
+    main(["refresh", *common, "--tables", "emergency", "--prune"])
+    assert len(glob.glob(f"{store}/emergency/*/")) == 2
+    capsys.readouterr()
+    main(["check", *common])
+    lacking = capsys.readouterr().out
+    assert "PATIENT: ID" in lacking and "ObsExport" not in lacking
     with pytest.raises(SystemExit):
         main(["export", "--store", store, "--out", out, "--names", "unknown"])

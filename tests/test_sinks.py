@@ -57,6 +57,11 @@ def test_replace_and_failed_replace(spark, tmp_path):
     with pytest.raises(QualityError):
         store.replace("t", spark.range(7), check=fail)
     assert store.read("t").count() == 5
+    assert len(glob.glob(f"{tmp_path}/t/*/")) == 3
+    store.prune("t")
+    assert len(glob.glob(f"{tmp_path}/t/*/")) == 2
+    store.prune("t", keep=0)
+    assert len(glob.glob(f"{tmp_path}/t/*/")) == 1 and store.read("t").count() == 5
 
 
 def test_append(spark, tmp_path):

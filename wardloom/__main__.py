@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from wardloom.params import Params
 from wardloom.plans.exports import EXPORTS
 from wardloom.plans.extracts import EXTRACTS
-from wardloom.plans.run import export_all, refresh_all
+from wardloom.plans.run import STAGED, export_all, refresh_all
 from wardloom.session import build_session
 from wardloom.sinks.targets import TargetStore
 from wardloom.sources.catalog import Catalog
@@ -44,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--study-start", type=datetime.fromisoformat)
         command.add_argument("--as-of", type=datetime.fromisoformat)
         command.add_argument("--salt-file", help="file with the secret salt of the registry")
+        command.add_argument("--prune", action="store_true", help="delete runs before the previous one")
         command.add_argument("--tables", nargs="*", choices=list(EXTRACTS))
 
     command = add("export", "write export files")
@@ -88,7 +89,11 @@ def main(arguments: list[str] | None = None) -> None:
         for table, columns in missing_columns(_catalog(spark, args)).items():
             print(f"{table}: {', '.join(columns)}")
     elif args.command == "refresh":
-        refresh_all(_catalog(spark, args), TargetStore(spark, args.store), params, args.tables)
+        store = TargetStore(spark, args.store)
+        refresh_all(_catalog(spark, args), store, params, args.tables)
+        if args.prune:
+            for table in (t for t in [*EXTRACTS, *STAGED] if t in store):
+                store.prune(table)
     else:
         export_all(TargetStore(spark, args.store), args.out, params, args.names, args.single_file)
 

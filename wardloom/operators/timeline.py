@@ -42,7 +42,7 @@ def sequence_in_group(
     if hot:
         return _sequence_by_range(rows, group, order, name)
     window = Window.partitionBy(*group).orderBy(*order)
-    return rows.withColumn(name, F.row_number().over(window))
+    return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
 
 
 def _sequence_by_range(
@@ -71,7 +71,7 @@ def _sequence_by_range(
         F.col("_part") == F.col("_p"),
     )
     return placed.join(starts, same).select(
-        *[F.col(c) for c in rows.columns], (F.col("_place") + F.col("_shift")).cast("int").alias(name)
+        *[F.col(c) for c in rows.columns], (F.col("_place") + F.col("_shift")).alias(name)
     )
 
 

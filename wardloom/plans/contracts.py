@@ -146,7 +146,7 @@ CONTRACTS: dict[str, dict[str, str]] = {
         "discharge_date_time": TIME,
         "episode_start_time": TIME,
         "episode_end_time": TIME,
-        "order_no_of_episode": "int",
+        "order_no_of_episode": "bigint",
         "admission_method": ANY,
         "admission_method_desc": TEXT,
         "admission_source": ANY,

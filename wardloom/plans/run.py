@@ -19,6 +19,9 @@ from wardloom.sources.catalog import Catalog
 from wardloom.sources.lookup import check_code_list, concat_by_code
 
 REGISTRY = "participant"
+PARTICIPANTS = "staged_participants"
+ELIGIBLE = "staged_eligible"
+STAGED = (SPELLS, SPELL_EPISODES, PARTICIPANTS, ELIGIBLE)
 
 #: targets that start from the cohort's spells or episodes
 FROM_SPELLS = {
@@ -70,7 +73,7 @@ def refresh(table: str, catalog: Catalog, store: TargetStore, params: Params) ->
 def update_registry(people: DataFrame, store: TargetStore, params: Params) -> None:
     """Give new patients an identifier; existing ones keep theirs."""
     known = store.read_appended(REGISTRY, registry_plan.SCHEMA)
-    new = store.replace("staged_participants", registry_plan.new_participants(people, known, params))
+    new = store.replace(PARTICIPANTS, registry_plan.new_participants(people, known, params))
     if new.head(1):
         registry_plan.check_registry(known.unionByName(new))
         store.append(REGISTRY, new)
@@ -103,7 +106,7 @@ def export_all(
 ) -> None:
     """Write the given exports as ``<folder>/<name>.csv``; who is eligible is worked out once."""
     known = store.read_appended(REGISTRY, registry_plan.SCHEMA)
-    eligible = store.replace("staged_eligible", eligible_patients(store.read("episodes"), params))
+    eligible = store.replace(ELIGIBLE, eligible_patients(store.read("episodes"), params))
     for name in EXPORTS if names is None else names:
         export = EXPORTS[name]
         rows = export_rows(export, store.read(export.target), known, eligible, params)

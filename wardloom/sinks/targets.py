@@ -82,6 +82,19 @@ class TargetStore:
         pointer = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/{POINTER}")
         context.rename(fs.makeQualified(new_path), fs.makeQualified(pointer), options)
 
+    def prune(self, table: str, keep: int = 1) -> None:
+        """Delete runs that are no longer published, but for the latest ``keep`` of them.
+
+        Readers that started on an earlier run may still need it.
+        """
+        current = self.path(table)
+        fs, folder = self._file_system(f"{self.root}/{table}")
+        runs = [s for s in fs.listStatus(folder) if s.isDirectory()]
+        old = [s for s in runs if current is None or s.getPath().getName() != current.rsplit("/", 1)[1]]
+        old.sort(key=lambda s: s.getModificationTime(), reverse=True)
+        for status in old[keep:]:
+            fs.delete(status.getPath(), True)
+
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows to a table that is never replaced."""
         rows.write.mode("append").parquet(f"{self.root}/{table}")

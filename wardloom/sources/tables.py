@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
+
 from wardloom.sources.catalog import Catalog
 
 _CODE_FILE = "CODE LOGICALLY_DELETED_FLAG"
@@ -86,11 +88,19 @@ SOURCE_TABLES = {
 SOURCE_TABLES["ObsExport"] = ["ObsId", "System Number > Patient ID", "Timestamp"]
 
 
+def _columns(catalog: Catalog, name: str) -> set[str]:
+    """Lower-case column names; none where there is no such table."""
+    try:
+        return {c.lower() for c in catalog[name].columns}
+    except (KeyError, AnalysisException):
+        return set()
+
+
 def missing_columns(catalog: Catalog) -> dict[str, list[str]]:
     """Columns the jobs need and a catalog lacks, per table; names compare without case."""
     lacking = {}
     for name, columns in SOURCE_TABLES.items():
-        present = {c.lower() for c in catalog[name].columns} if name in catalog else set()
+        present = _columns(catalog, name)
         missing = [c for c in columns if c.lower() not in present]
         if missing:
             lacking[name] = missing
