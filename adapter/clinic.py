@@ -48,9 +48,10 @@ EVENT_PARAMS = Params(
     salt="test-salt",
 )
 
-# identifies a line; the key columns of lineitem alone do not
+# tells the lines of an order apart; their numbers alone do not
 LINE_ID = (
-    "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int))"
+    "(l_orderkey * 1000003 + (l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 15485863"
+    " + cast(l_quantity as int)) % 1000003)"
 )
 SPLIT_ORDER = "concat(substring({0}, 1, 1), ' : ', substring({0}, 2))"
 # fixed values: codes that occur in the filters of the jobs
@@ -555,7 +556,7 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
         None,
         [
             "cast(l_orderkey as string) as spell_id",
-            f"{LINE_ID} as episode_id",
+            f"cast({LINE_ID} as string) as episode_id",
             f"{PART_KEY} as uhl_system_number",
             "l_linenumber as diagnosis_number",
             f"{ICD} as diagnosis_code",
@@ -567,7 +568,7 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
         "l_returnflag <> 'N'",
         [
             "cast(l_orderkey as string) as spell_id",
-            f"{LINE_ID} as episode_id",
+            f"cast({LINE_ID} as string) as episode_id",
             f"{PART_KEY} as uhl_system_number",
             "case when l_linenumber <> 4 then l_linenumber end as procedure_number",
             "concat('P', l_partkey) as procedure_code",
@@ -579,7 +580,7 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
         None,
         [
             "cast(l_orderkey as string) as spell_id",
-            f"{LINE_ID} as transfer_id",
+            f"cast({LINE_ID} as string) as transfer_id",
             "case l_linenumber % 3 when 0 then 'ADMISSION' when 1 then 'TRANSFER' else 'DISCHARGE' end"
             " as transfer_type",
             f"{PART_KEY} as uhl_system_number",
@@ -624,7 +625,7 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
         "lineitem",
         None,
         [
-            f"{LINE_ID} as order_id",
+            f"cast({LINE_ID} as string) as order_id",
             f"{PART_KEY} as uhl_system_number",
             "l_linestatus as method_name",
             "concat('MED', l_partkey % 50) as medication_name",
@@ -641,7 +642,7 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
         "lineitem",
         None,
         [
-            f"{LINE_ID} as administration_id",
+            f"cast({LINE_ID} as string) as administration_id",
             f"{PART_KEY} as uhl_system_number",
             _hours("l_shipdate", "l_linenumber") + " as administration_datetime",
             "concat('MED', l_partkey % 50) as medication_name",

@@ -1,6 +1,9 @@
 """The warehouse and legacy tables again, in DuckDB SQL over the test tables."""
 
-LINE = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT))"
+LINE = (
+    "(l_orderkey * 1000003 + (l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 15485863"
+    " + CAST(l_quantity AS INT)) % 1000003)"
+)
 DIAGNOSIS = """CASE l_partkey % 40
   WHEN 0 THEN 'F17' WHEN 1 THEN 'F17.0' WHEN 2 THEN 'F17.1' WHEN 3 THEN 'F17.2' WHEN 4 THEN 'F17.3'
   WHEN 5 THEN 'F17.4' WHEN 6 THEN 'F17.7' WHEN 7 THEN 'F17.9' WHEN 8 THEN 'T65.2' WHEN 9 THEN 'Z72.0'
@@ -240,10 +243,10 @@ SOURCES = {
       o_orderstatus AS status, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'SOURCE ' || o_orderstatus END AS source,
       o_custkey % 10 AS spec FROM orders""",
     "g_diagnosis": f"""
-    SELECT CAST(l_orderkey AS VARCHAR) AS spell_id, {LINE} AS episode_id, {PART} AS k, l_linenumber AS num,
+    SELECT CAST(l_orderkey AS VARCHAR) AS spell_id, CAST({LINE} AS VARCHAR) AS episode_id, {PART} AS k, l_linenumber AS num,
       {DIAGNOSIS} AS code, 'NAME ' || l_partkey AS name FROM lineitem""",
     "g_procedure": f"""
-    SELECT CAST(l_orderkey AS VARCHAR) AS spell_id, {LINE} AS episode_id, {PART} AS k,
+    SELECT CAST(l_orderkey AS VARCHAR) AS spell_id, CAST({LINE} AS VARCHAR) AS episode_id, {PART} AS k,
       CASE WHEN l_linenumber = 4 THEN NULL ELSE l_linenumber END AS num, 'P' || l_partkey AS code,
       CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE 'NAME ' || l_partkey END AS name
     FROM lineitem WHERE l_returnflag <> 'N'""",
@@ -254,7 +257,7 @@ SOURCES = {
       CASE WHEN l_suppkey % 30 < 25 THEN 'WARD ' || (l_suppkey % 30) END AS ward_name,
       'HOSPITAL ' || (l_suppkey % 3) AS hospital FROM lineitem""",
     "g_lab": f"""
-    SELECT {PART} AS k, {LINE} AS line_id, l_suppkey, l_partkey, l_linenumber, l_returnflag, l_linestatus,
+    SELECT {PART} AS k, CAST({LINE} AS VARCHAR) AS line_id, l_suppkey, l_partkey, l_linenumber, l_returnflag, l_linestatus,
       CAST(l_quantity AS INT) AS qty, l_shipdate FROM lineitem""",
     "g_observation": f"""
     SELECT {USER} AS k, ts, event_type AS name, CAST(CAST(trunc(value * 100) AS INT) AS VARCHAR) AS val,
