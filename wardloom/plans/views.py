@@ -211,9 +211,11 @@ def shown_patients(catalog: Catalog, params: Params) -> DataFrame:
 
 
 def fact_view(view: View, catalog: Catalog, params: Params) -> DataFrame:
-    rows = catalog[view.table].select(match_key(KEY).alias("_key"), *view.select())
+    needed = {view.renamed.get(name, name) for name in view.columns}
+    rows = catalog[view.table].select(match_key(KEY).alias("_key"), *sorted(needed))
+    # texts are made after the join, which then moves the narrower source columns
     return rows.join(shown_patients(catalog, params), "_key").select(
-        *_provenance(params), "Subject", *view.columns
+        *_provenance(params), "Subject", *view.select()
     )
 
 
