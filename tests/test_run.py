@@ -4,9 +4,11 @@ import glob
 
 import pytest
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
 
 from adapter import clinic
 from wardloom.__main__ import main
+from wardloom.operators.quality import QualityError
 from wardloom.plans.exports import EXPORTS
 from wardloom.plans.extracts import EXTRACTS
 from wardloom.plans.registry import SCHEMA
@@ -18,13 +20,13 @@ from wardloom.sinks.targets import TargetStore
 @pytest.fixture(scope="module")
 def store(spark, tmp_path_factory):
     store = TargetStore(spark, str(tmp_path_factory.mktemp("store")))
-    refresh_all(clinic.warehouse(spark, SMALL), store, clinic.PARAMS)
+    refresh_all(clinic.warehouse(spark, SMALL), store, clinic.PARAMS, at_once=3)
     return store
 
 
 def test_targets_equal_the_jobs_on_their_own(spark, store, warehouse):
     assert SPELL_EPISODES in store
-    for name in ("diagnosis", "episodes", "transfer", "icu_procedures", "riskfactors", "demographics"):
+    for name in ("diagnosis", "episodes", "transfer", "icu_procedures", "riskfactors", "demographics", "blood_test"):
         assert rows(store.read(name)) == rows(EXTRACTS[name](warehouse, clinic.PARAMS)), name
 
 
@@ -35,8 +37,24 @@ def test_registry_is_filled_once(spark, store, warehouse):
     assert rows(store.read_appended("participant", SCHEMA)) == before
 
 
+def test_repeated_result_stops_the_blood_tests(spark, store, warehouse):
+    before = store.path("blood_test")
+    results = warehouse["HAEM_RESULTS_FILE"]
+    doubled = warehouse.with_tables(HAEM_RESULTS_FILE=results.union(results))
+    with pytest.raises(QualityError, match="blood test results"):
+        refresh_all(doubled, store, clinic.PARAMS, ["blood_test"])
+    assert store.path("blood_test") == before
+
+
+def test_code_that_comes_back_stops_the_risk_factors(store, warehouse):
+    lines = warehouse["risk_factor_codes"]
+    doubled = lines.union(lines.withColumn("line_no", F.col("line_no") + 10**6))
+    with pytest.raises(ValueError, match="repeated apart"):
+        refresh_all(warehouse.with_tables(risk_factor_codes=doubled), store, clinic.PARAMS, ["riskfactors"])
+
+
 def test_export_files(spark, store, tmp_path):
-    export_all(store, str(tmp_path), clinic.PARAMS, single_file=True)
+    export_all(store, str(tmp_path), clinic.PARAMS, single_file=True, at_once=3)
     keys = {r.uhl_system_number for r in store.read("demographics").collect()}
     for name, export in EXPORTS.items():
         (part,) = glob.glob(f"{tmp_path}/{name}.csv/part-*")

@@ -19,6 +19,11 @@ VALUES = [
     ("line\nbreak", 5, None, None, None, 1.5e-05),
     ("", 6, None, None, None, -123456789.125),
     (None, 7, None, None, None, None),
+    ("carriage\rreturn", 9, None, None, None, 100.0),
+    ("#hash", 10, None, None, None, 0.001),
+    ('back\\slash\\"', 11, None, None, None, -0.0),
+    ("tab\t", 12, None, None, None, 1e22),
+    ('"', 13, None, None, None, 9999999.5),
     ("0", 8, None, None, None, 1234567.0),
 ]
 SCHEMA = "t string, i int, d decimal(18,5), at timestamp_ntz, on date, f double"

@@ -28,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=text)
         command.add_argument("--cutoff", type=datetime.fromisoformat)
         command.add_argument("--provenance")
+        command.add_argument("--at-once", type=int, default=1, help="jobs to run side by side")
         return command
 
     for name, text in (
@@ -90,12 +91,13 @@ def main(arguments: list[str] | None = None) -> None:
             print(f"{table}: {', '.join(columns)}")
     elif args.command == "refresh":
         store = TargetStore(spark, args.store)
-        refresh_all(_catalog(spark, args), store, params, args.tables)
+        refresh_all(_catalog(spark, args), store, params, args.tables, args.at_once)
         if args.prune:
             for table in (t for t in [*EXTRACTS, *STAGED] if t in store):
                 store.prune(table)
     else:
-        export_all(TargetStore(spark, args.store), args.out, params, args.names, args.single_file)
+        store = TargetStore(spark, args.store)
+        export_all(store, args.out, params, args.names, args.single_file, args.at_once)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,9 @@ from wardloom.operators.joins import COHORT_KEY, left_lookup
 from wardloom.params import Params
 from wardloom.sources.catalog import Catalog
 
+#: a catalog may hold the cohort's results, written and checked before they are used
+PATIENT_RESULTS = "staged_patient_results"
+
 
 def cohort_requesters(catalog: Catalog) -> DataFrame:
     """Laboratory patient records of cohort patients, each once."""
@@ -52,6 +55,9 @@ def received_results(catalog: Catalog, params: Params) -> DataFrame:
 
 
 def patient_results(catalog: Catalog, params: Params) -> DataFrame:
+    """Results of cohort patients."""
+    if PATIENT_RESULTS in catalog:
+        return catalog[PATIENT_RESULTS]
     return received_results(catalog, params).join(cohort_requesters(catalog), "requester").drop("requester")
 
 
@@ -60,7 +66,6 @@ def staging_keys(catalog: Catalog, params: Params) -> dict[str, tuple[DataFrame,
     return {
         "blood test patients": (cohort_requesters(catalog), "requester"),
         "blood test results": (received_results(catalog, params), "result_id"),
-        "blood test patient results": (patient_results(catalog, params), "result_id"),
     }
 
 

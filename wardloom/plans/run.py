@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -21,7 +22,7 @@ from wardloom.sources.lookup import check_code_list, concat_by_code
 REGISTRY = "participant"
 PARTICIPANTS = "staged_participants"
 ELIGIBLE = "staged_eligible"
-STAGED = (SPELLS, SPELL_EPISODES, PARTICIPANTS, ELIGIBLE)
+STAGED = (SPELLS, SPELL_EPISODES, bloods.PATIENT_RESULTS, PARTICIPANTS, ELIGIBLE)
 
 #: targets that start from the cohort's spells or episodes
 FROM_SPELLS = {
@@ -58,8 +59,7 @@ def check_target(table: str):
 def refresh(table: str, catalog: Catalog, store: TargetStore, params: Params) -> DataFrame:
     """Replace one target table."""
     if table == "blood_test":
-        for name, (rows, key) in bloods.staging_keys(catalog, params).items():
-            require_unique(rows, key, table=name)
+        catalog = with_patient_results(catalog, store, params)
     if table == "riskfactors":
         check_code_list(concat_by_code(catalog["risk_factor_codes"]))
     rows = EXTRACTS[table](catalog, params)
@@ -79,6 +79,18 @@ def update_registry(people: DataFrame, store: TargetStore, params: Params) -> No
         store.append(REGISTRY, new)
 
 
+def with_patient_results(catalog: Catalog, store: TargetStore, params: Params) -> Catalog:
+    """Check the keys of the steps before the blood tests, and write the last of them."""
+    for name, (rows, key) in bloods.staging_keys(catalog, params).items():
+        require_unique(rows, key, table=name)
+    results = store.replace(
+        bloods.PATIENT_RESULTS,
+        bloods.patient_results(catalog, params),
+        lambda rows: require_unique(rows, "result_id", table="blood test patient results"),
+    )
+    return catalog.with_tables(**{bloods.PATIENT_RESULTS: results})
+
+
 def with_shared_spells(catalog: Catalog, store: TargetStore, params: Params) -> Catalog:
     """Write the cohort's spells and episodes once for the jobs that start from them."""
     staged = catalog.with_tables(**{SPELLS: store.replace(SPELLS, spells(catalog, params))})
@@ -87,14 +99,23 @@ def with_shared_spells(catalog: Catalog, store: TargetStore, params: Params) ->
 
 
 def refresh_all(
-    catalog: Catalog, store: TargetStore, params: Params, tables: Sequence[str] | None = None
+    catalog: Catalog,
+    store: TargetStore,
+    params: Params,
+    tables: Sequence[str] | None = None,
+    at_once: int = 1,
 ) -> None:
-    """Replace the given target tables, demographics (with the registry) first."""
+    """Replace the given target tables, demographics (with the registry) first.
+
+    The others do not depend on each other; ``at_once`` of them run side by side.
+    """
     tables = list(EXTRACTS) if tables is None else [t for t in EXTRACTS if t in set(tables)]
     if len(FROM_SPELLS.intersection(tables)) > 1:
         catalog = with_shared_spells(catalog, store, params)
-    for table in tables:
-        refresh(table, catalog, store, params)
+    if "demographics" in tables:
+        refresh("demographics", catalog, store, params)
+        tables.remove("demographics")
+    _each(lambda table: refresh(table, catalog, store, params), tables, at_once)
 
 
 def export_all(
@@ -103,12 +124,22 @@ def export_all(
     params: Params,
     names: Sequence[str] | None = None,
     single_file: bool = False,
+    at_once: int = 1,
 ) -> None:
     """Write the given exports as ``<folder>/<name>.csv``; who is eligible is worked out once."""
     known = store.read_appended(REGISTRY, registry_plan.SCHEMA)
     eligible = store.replace(ELIGIBLE, eligible_patients(store.read("episodes"), params))
-    for name in EXPORTS if names is None else names:
+
+    def write(name: str) -> None:
         export = EXPORTS[name]
         rows = export_rows(export, store.read(export.target), known, eligible, params)
         write_delimited(rows, f"{folder}/{name}.csv", single_file)
 
+    _each(write, EXPORTS if names is None else names, at_once)
+
+
+def _each(job: Callable[[str], object], names: Iterable[str], at_once: int) -> None:
+    """Run a job per name; the first failure is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for _ in pool.map(job, names):
+            pass

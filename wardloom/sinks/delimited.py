@@ -20,6 +20,8 @@ OPTIONS = {
     "nullValue": "",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    # otherwise a first value that starts with "#" is quoted
+    "comment": "\u0001",
 }
 
 
