@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers import this library from where the driver did; what --py-files brings them comes first."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

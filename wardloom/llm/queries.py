@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import byte_bpe, url_filter
+from wardloom.llm import byte_bpe, fingerprint, packing, url_filter
 from wardloom.llm.common import table
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     made = byte_bpe.round_trip(table(spark, folder, "documents"))
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
@@ -21,9 +26,15 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages")).drop("pattern")
 
 
+def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.edited_likeness(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_url_filter": op7_url_filter,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 _SITE = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
