@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -16,12 +17,9 @@ from pyspark.sql import functions as F
 PLAIN_LATIN = "\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ac\\u00ae-\\u012f\\u0131-\\u0177"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the folder of ``spark.checkpoint.dir``, so that lost executors cost nothing.
-
-    Only a local session that names no folder gets one of its own.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only a local session that names none gets one of its own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -29,7 +27,15 @@ def settle(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="wardloom-checkpoints-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder: lost executors cost nothing, and its size is known."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def reachable(spark: SparkSession) -> None:
