@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import byte_bpe, fingerprint, minhash, packing, url_filter
+from wardloom.llm import byte_bpe, embedding_dedup, fingerprint, minhash, packing, url_filter
 from wardloom.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages")).drop("pattern")
 
 
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, folder, "documents"), width=2)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_url_filter": op7_url_filter,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_minhash": op9_minhash,
     "op10_fingerprint": op10_fingerprint,
 }
