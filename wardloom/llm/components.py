@@ -71,5 +71,6 @@ def components(links: DataFrame) -> DataFrame:
         edges = settle(small.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")).first()
         if now[0] == now[2] and now == before:
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
+            found = edges.unionByName(edges.select("b", F.col("b").alias("a")).distinct())
+            return found.select(F.col("a").alias("id"), F.col("b").alias("root"))
         before = now

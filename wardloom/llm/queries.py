@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import byte_bpe, embedding_dedup, fingerprint, minhash, packing, url_filter
+from wardloom.llm import byte_bpe, embedding_dedup, fingerprint, line_dedup, minhash, packing, url_filter
 from wardloom.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.line_report(table(spark, folder, "documents"))
+    return found.select("doc_id", "line_no", "kept", F.col("kept_key").alias("kept_doc_id"), F.col("kept_line").alias("kept_line_no"))
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     made = byte_bpe.round_trip(table(spark, folder, "documents"))
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
@@ -42,6 +47,7 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_url_filter": op7_url_filter,
     "op8_embedding_dedup": op8_embedding_dedup,
