@@ -98,11 +98,11 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, starts: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of each row, with A-Z in lower case, and the first word of each row.
 
     A word is ``[^\\x20\\x09-\\x0D]+``; the second result has one more entry at the end. A word's hash is a polynomial
-    in its bytes modulo 2**64, mixed.
+    in its bytes modulo 2**64, mixed; with ``most``, in so many first bytes.
     """
     rows = len(starts) - 1
     if not len(raw):
@@ -129,6 +129,8 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
             np.multiply.accumulate(powers, out=powers)
     terms = (LOWER[raw[first[0] :]].astype(np.uint64) + np.uint64(1)) * powers[at]
     terms[~inside[first[0] :]] = 0
+    if most is not None:
+        terms[at >= most] = 0
     return mix64(np.add.reduceat(terms, first - first[0])), counts
 
 

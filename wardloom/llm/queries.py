@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import byte_bpe, embedding_dedup, fingerprint, line_dedup, minhash, packing, url_filter
+from wardloom.llm import byte_bpe, embedding_dedup, fingerprint, language_id, line_dedup, minhash, packing, quality, toxicity, url_filter
 from wardloom.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return language_id.predict(documents, language_id.fit(documents))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -27,6 +32,16 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return quality.score(documents, quality.fit(documents, table(spark, folder, "labels")))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages")).drop("pattern")
 
@@ -46,9 +61,12 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_minhash": op9_minhash,
