@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -151,3 +151,15 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[n
         step = mix64(out + padded[at + k] + np.uint64(k + 1))
         out = np.where(left > k, step, out)
     return out, first
+
+
+def text_scores(score: Callable[[pa.Array], np.ndarray], max_bytes: int = 2 << 20) -> Callable[[Column], Column]:
+    """``score`` as a column function of whole texts; null texts count as empty."""
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        batch = pa.record_batch([texts], names=["text"])
+        parts = [score(part.column("text")) for part in batches(iter([batch]), max_bytes)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+
+    return scored
