@@ -376,9 +376,8 @@ def row_number_episode(c: Catalog) -> DataFrame:
         F.col("ID").alias("episode_identifier"),
         F.col("CONS_EPISODE_START_DATE_TIME").alias("started"),
     )
-    hot = timeline.largest_group(rows, ["spell_identifier"]) > PARAMS.hot_group_rows
     return timeline.sequence_in_group(
-        rows, ["spell_identifier"], ["started", "episode_identifier"], "order_no_of_episode", hot
+        rows, ["spell_identifier"], ["started", "episode_identifier"], "order_no_of_episode"
     ).drop("started")
 
 
@@ -521,8 +520,7 @@ WAREHOUSE_QUERIES["left_then_inner"] = _medication.product_classes
 
 def movement_next_event(c: Catalog) -> DataFrame:
     rows = c["transfer"].select("spell_id", "transfer_datetime")
-    hot = timeline.largest_group(rows, ["spell_id"]) > PARAMS.hot_group_rows
-    return timeline.next_event_times(rows, ["spell_id"], "transfer_datetime", "next_datetime", hot)
+    return timeline.next_event_times(rows, ["spell_id"], "transfer_datetime", "next_datetime")
 
 
 def _on_warehouse(build: Callable[[Catalog], DataFrame]) -> Query:

@@ -70,8 +70,8 @@ def _events(spark, n=3000):
     return data, spark.createDataFrame(data, "g string, t timestamp_ntz, id string").repartition(5)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_sequence_against_brute_force(spark, hot):
+@pytest.mark.parametrize("every", ["DAY", "MONTH", "YEAR"])
+def test_sequence_against_brute_force(spark, every):
     data, df = _events(spark)
     expected = []
     for group in {d[0] for d in data}:
@@ -79,30 +79,24 @@ def test_sequence_against_brute_force(spark, hot):
             (d for d in data if d[0] == group), key=lambda d: (d[1] is not None, d[1] or DAY, d[2])
         )
         expected += [(*d, n) for n, d in enumerate(members, 1)]
-    got = timeline.sequence_in_group(df, ["g"], ["t", "id"], "n", hot=hot)
+    got = timeline.sequence_in_group(df, ["g"], ["t", "id"], "n", every=every)
     assert got.columns == ["g", "t", "id", "n"]
     assert dict(got.dtypes)["n"] == "bigint"
     assert rows(got) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_next_event_against_brute_force(spark, hot):
+@pytest.mark.parametrize("every", ["DAY", "MONTH", "YEAR"])
+def test_next_event_against_brute_force(spark, every):
     data, df = _events(spark, 1500)
     data = [d for d in data if d[0] is not None]
     expected = set()
     for group in {d[0] for d in data}:
         times = sorted({d[1] for d in data if d[0] == group and d[1] is not None})
         expected |= {(group, a, b) for a, b in zip(times, times[1:])}
-    got = timeline.next_event_times(df.filter("g is not null"), ["g"], "t", "next", hot=hot)
+    got = timeline.next_event_times(df.filter("g is not null"), ["g"], "t", "next", every=every)
     assert rows(got) == sorted(expected, key=repr)
 
 
-def test_largest_group(spark):
-    df = spark.createDataFrame([("a",), ("a",), ("b",)], "g string")
-    assert timeline.largest_group(df, ["g"]) == 2
-    assert timeline.largest_group(df.limit(0), ["g"]) == 0
-
-
 def test_measures_need_a_value_column():
     columns = ["Pulse", "Pulse_units", "Pulse_EWS", "Temp", "Temp_units", "temp_ews", "lost_ews", "Only"]
     assert reshape.find_measures(columns) == ["Pulse"]

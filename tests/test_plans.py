@@ -3,7 +3,8 @@
 import pytest
 
 from adapter import clinic
-from adapter.queries import JOBS, all_queries, extract
+from adapter.queries import JOBS, all_queries, export, extract, movement_next_event, row_number_episode
+from wardloom.plans.views import VIEWS
 from wardloom.session import SETTINGS
 
 SMALL = "/root/testdata/sf0.01"
@@ -35,11 +36,30 @@ def test_cohort_is_a_semi_join(spark, job):
     assert "LeftSemi" in plan(extract(job, clinic.warehouse(spark, SMALL)))
 
 
-def test_numbering_needs_no_shuffle_of_its_own(spark, only_small_broadcasts):
-    """The window runs on the partitioning of the join of spells and episodes."""
-    text = plan(QUERIES["extract_episodes"](spark, SMALL))
-    below = text[text.index("Window [") :]
-    assert below.index("SortMergeJoin [spell_identifier") < below.index("Exchange")
+def test_building_a_plan_runs_nothing(spark):
+    warehouse, legacy = clinic.warehouse(spark, SMALL), clinic.legacy(spark, SMALL)
+    built = [
+        lambda: extract("episodes", warehouse),
+        lambda: export("episodes", warehouse),
+        lambda: row_number_episode(warehouse),
+        lambda: VIEWS["movement_export"](legacy, clinic.PARAMS),
+        lambda: movement_next_event(legacy),
+    ]
+    for build in built:  # files are opened for their schemas once
+        build()
+    spark.sparkContext.setJobGroup("building", "building")
+    for build in built:
+        build()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def test_a_group_is_numbered_in_slices(spark, only_small_broadcasts):
+    """No window over rows has a whole group for its partition."""
+    text = plan(QUERIES["row_number_episode"](spark, SMALL))
+    (numbering,) = [x for x in text.splitlines() if "row_number()" in x and "Window" in x]
+    assert "_at" in numbering
 
 
 def test_scans_read_few_columns_and_filter_early(spark):

@@ -1,15 +1,13 @@
 """Results on data in which one spell, patient and product each hold a third of the rows.
 
-Joins are shuffled and hot groups are cut, as they would be with large tables.
+Joins are shuffled, as they would be with large tables.
 """
 
-from dataclasses import replace
-
 import compare
 import pytest
 from conftest import SMALL
 
-from adapter import clinic, queries
+from adapter import queries
 from oracle.queries import all_queries
 from wardloom.operators import joins
 
@@ -57,8 +55,7 @@ def skewed(tmp_path_factory):
 
 
 @pytest.fixture
-def shuffled(spark, monkeypatch):
-    monkeypatch.setattr(queries, "PARAMS", replace(clinic.PARAMS, hot_group_rows=100))
+def shuffled(spark):
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     yield

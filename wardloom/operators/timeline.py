@@ -1,22 +1,22 @@
 """Latest value, sequence number and next event within a group.
 
-A window over a group runs in one task.  That is the cheapest plan while
-groups are small, as it shares the shuffle of the join before it.  When the
-largest group is over a limit, rows are instead placed by a range shuffle on
-group *and* order, which cuts a large group into many tasks, and only one row
-per group and task is combined afterwards.
+A group of any size is cut into slices of time, which come from its rows' own
+times, and each slice is one window.  What a slice needs to know of the others,
+the number of rows before it or the first time after it, is aggregated per
+slice.  Everything is one lazy plan.
 """
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: length of a slice
+SLICE = "MONTH"
+
 
 def latest_per_key(rows: DataFrame, key: Column, value: str, order: Sequence[str], name: str) -> DataFrame:
     """The value of the last row per key, NULL order values coming first.
@@ -26,70 +26,36 @@ def latest_per_key(rows: DataFrame, key: Column, value: str, order: Sequence[str
     return rows.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(name))
 
 
-def largest_group(rows: DataFrame, group: Sequence[str]) -> int:
-    """Rows in the largest group (counted before the shuffle; one number comes back)."""
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+def _sliced(rows: DataFrame, group: Sequence[str], time: str, every: str) -> DataFrame:
+    """With ``_at``, the group and the slice; both may be NULL, as parts of a key that is not."""
+    return rows.withColumn("_at", F.struct(F.struct(*group).alias("whole"), F.date_trunc(every, time).alias("slice")))
 
 
 def sequence_in_group(
-    rows: DataFrame, group: Sequence[str], order: Sequence[str], name: str, hot: bool = False
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], name: str, every: str = SLICE
 ) -> DataFrame:
-    """Number the rows of each group from 1; ``order`` should end in a unique column.
+    """Number the rows of each group from 1.
 
-    Set ``hot`` when a group may be too large for one task; the numbers are the same.
+    ``order`` starts with a timestamp, whose NULLs come first, and should end in
+    a unique column.
     """
-    if hot:
-        return _sequence_by_range(rows, group, order, name)
-    window = Window.partitionBy(*group).orderBy(*order)
-    return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-
-def _sequence_by_range(
-    rows: DataFrame, group: Sequence[str], order: Sequence[str], name: str
-) -> DataFrame:
-    keys = [*group, *order]
-    ensure_checkpoint_dir(rows.sparkSession)
-    # the places must not change once they have been counted, hence the checkpoint
-    placed = (
-        rows.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_place", 33))
-    )
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy(*group, "_part")
-        .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_shift", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1)
-        .select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(group)], F.col("_part").alias("_p"), "_shift")
-    )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(group)],
-        F.col("_part") == F.col("_p"),
-    )
-    return placed.join(starts, same).select(
-        *[F.col(c) for c in rows.columns], (F.col("_place") + F.col("_shift")).alias(name)
-    )
+    sliced = _sliced(rows, group, order[0], every)
+    sizes = sliced.groupBy("_at").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_at.whole").orderBy("_at.slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_at", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_at").orderBy(*order))
+    numbered = sliced.withColumn("_place", place).join(before, "_at")
+    return numbered.select(*rows.columns, (F.col("_before") + F.col("_place")).alias(name))
 
 
-def next_event_times(
-    rows: DataFrame, group: Sequence[str], time: str, name: str, hot: bool = False
-) -> DataFrame:
+def next_event_times(rows: DataFrame, group: Sequence[str], time: str, name: str, every: str = SLICE) -> DataFrame:
     """Each distinct time of a group with the next later one; the last time is left out."""
     times = rows.select(*group, time).filter(F.col(time).isNotNull()).distinct()
-    if not hot:
-        window = Window.partitionBy(*group).orderBy(time)
-        return times.withColumn(name, F.lead(time).over(window)).filter(F.col(name).isNotNull())
-    numbered = sequence_in_group(times, group, [time], "_n", hot=True)
-    later = numbered.select(*group, (F.col("_n") - 1).alias("_n"), F.col(time).alias(name))
-    return numbered.join(later, [*group, "_n"]).drop("_n")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; a local one only where none is named."""
-    if not spark.sparkContext.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
+    sliced = _sliced(times, group, time, every)
+    firsts = _sliced(rows.select(*group, time).filter(F.col(time).isNotNull()), group, time, every)
+    firsts = firsts.groupBy("_at").agg(F.min(time).alias("_first"))
+    following = F.lead("_first").over(Window.partitionBy("_at.whole").orderBy("_at.slice"))
+    after = firsts.select("_at", following.alias("_after"))
+    within = F.lead(time).over(Window.partitionBy("_at").orderBy(time))
+    found = sliced.withColumn("_within", within).join(after, "_at")
+    return found.select(*times.columns, F.coalesce("_within", "_after").alias(name)).filter(F.col(name).isNotNull())

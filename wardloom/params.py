@@ -30,6 +30,3 @@ class Params:
     id_prefix: str = "HCVPt"
     id_digits: int = 16
     salt: str | None = None
-
-    #: a group with more rows than this is numbered in time slices (see operators.timeline)
-    hot_group_rows: int = 2_000_000

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.scalars import null_of
 from wardloom.operators.joins import current, inner_lookup
-from wardloom.operators.timeline import largest_group, sequence_in_group
+from wardloom.operators.timeline import sequence_in_group
 from wardloom.params import Params
 from wardloom.plans.spells import consultant_episodes, spells
 from wardloom.sources.catalog import Catalog
@@ -16,8 +16,7 @@ from wardloom.sources.catalog import Catalog
 def episode_rows(catalog: Catalog, params: Params) -> DataFrame:
     """Episodes whose four codes are all current; the others are left out.
 
-    The codes of a spell are looked up before its episodes are joined, and the
-    numbering then runs on the partitioning of that join.
+    The codes of a spell are looked up before its episodes are joined.
     """
     rows = spells(catalog, params)
     rows = inner_lookup(
@@ -56,14 +55,11 @@ def episode_rows(catalog: Catalog, params: Params) -> DataFrame:
 
 
 def build(catalog: Catalog, params: Params) -> DataFrame:
-    # episodes per spell before any filter: an upper bound, read from one column
-    most = largest_group(catalog["CONSULTANT_EPISODES"], ["ADMISSIONS_ID"])
     numbered = sequence_in_group(
         episode_rows(catalog, params),
         ["spell_identifier"],
         ["episode_start_time", "episode_identifier"],
         "order_no_of_episode",
-        hot=most > params.hot_group_rows,
     )
     return numbered.select(
         "uhl_system_number",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardloom.functions.keys import match_key
 from wardloom.functions.predicates import timestamp
 from wardloom.functions.scalars import blank_if_null, outcode_legacy
-from wardloom.operators.timeline import largest_group, next_event_times
+from wardloom.operators.timeline import next_event_times
 from wardloom.params import Params
 from wardloom.sources.catalog import Catalog
 
@@ -226,8 +226,7 @@ def movement(catalog: Catalog, params: Params) -> DataFrame:
     spell has no next one and is left out.
     """
     transfers = catalog["transfer"]
-    hot = largest_group(transfers, ["spell_id"]) > params.hot_group_rows
-    following = next_event_times(transfers, ["spell_id"], "transfer_datetime", "end_datetime", hot=hot)
+    following = next_event_times(transfers, ["spell_id"], "transfer_datetime", "end_datetime")
     ends = transfers.select(
         "spell_id",
         F.col("transfer_datetime").alias("end_datetime"),
