@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +17,7 @@ from wardloom.plans import registry
 from wardloom.plans.exports import EXPORTS, eligible_patients, export_rows
 from wardloom.plans.extracts import EXTRACTS, _medication, bloods, demographics, episodes, microbiology, virology
 from wardloom.plans.views import VIEWS
-from wardloom.session import configure
+from wardloom.session import configure, shared_folder
 from wardloom.sinks.delimited import OPTIONS, write_delimited
 from wardloom.sinks.targets import TargetStore
 from wardloom.sources.lookup import concat_by_code, read_code_list
@@ -70,12 +68,6 @@ def export(job: str, catalog: Catalog) -> DataFrame:
     )
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors can reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scratch-")
-    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
-
-
 # --- projections -------------------------------------------------------------------------------
 
 
@@ -434,7 +426,7 @@ def _written_code_list(c: Catalog) -> DataFrame:
     """The code list written as CSV files in line order, and read back."""
     lines = c["risk_factor_codes"]
     spark = lines.sparkSession
-    folder = scratch(spark)
+    folder = shared_folder(spark, "scratch")
     in_order = lines.repartitionByRange("line_no").sortWithinPartitions("line_no")
     in_order.select("ICD10", "Risk_Factor").write.option("header", True).csv(folder)
     return read_code_list(spark, folder)
@@ -452,7 +444,7 @@ def lookup_concat(c: Catalog) -> DataFrame:
 
 def replace_table(c: Catalog) -> DataFrame:
     rows = extract("transfers", c)
-    store = TargetStore(rows.sparkSession, scratch(rows.sparkSession))
+    store = TargetStore(rows.sparkSession, shared_folder(rows.sparkSession, "scratch"))
     store.replace("transfer", rows.limit(0))
     store.replace("transfer", rows)
     return store.read("transfer")
@@ -461,7 +453,7 @@ def replace_table(c: Catalog) -> DataFrame:
 def export_csv_rows(c: Catalog) -> DataFrame:
     rows = export("observations", c)
     spark = rows.sparkSession
-    folder = scratch(spark)
+    folder = shared_folder(spark, "scratch")
     write_delimited(rows, folder)
     schema = ", ".join(f"`{name}` string" for name in rows.columns)
     return spark.read.schema(schema).options(**OPTIONS).csv(folder)

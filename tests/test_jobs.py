@@ -39,11 +39,22 @@ def test_registry_is_stable(spark):
         new_participants(people, known, replace(PARAMS, salt=None))
 
 
-def test_registry_check_finds_a_collision(spark):
+def test_registry_resolves_collisions(spark):
+    schema = "participant_identifier string, uhl_system_number string"
+    few = replace(PARAMS, id_digits=1)
     people = table(spark, "uhl_system_number string", *[(f"K{i}",) for i in range(40)])
-    empty = table(spark, "participant_identifier string, uhl_system_number string")
+    first = register_participants(people.filter("uhl_system_number < 'K2'"), table(spark, schema), few)
+    check_registry(first)
+    stored = spark.createDataFrame(first.collect(), schema)
+    more = register_participants(people, stored, few)
+    check_registry(more)
+    assert more.count() == 40 and set(rows(stored)) < set(rows(more))
+
+
+def test_registry_check_finds_a_collision(spark):
+    twice = table(spark, "participant_identifier string, uhl_system_number string", ("P1", "K1"), ("P1", "K2"))
     with pytest.raises(QualityError, match="participant_identifier"):
-        check_registry(register_participants(people, empty, replace(PARAMS, id_digits=1)))
+        check_registry(twice)
 
 
 def test_two_postcodes_fail_the_patient_key(spark, warehouse):

@@ -130,5 +130,16 @@ def test_checks(spark):
         quality.require_target(kept, "k", {"t": 1}, [], "table")
     quality.require_target(kept, "k", {"t": 2}, ["t"], "table")
     shown = kept.withColumn("t", F.upper("k"))
-    with pytest.raises(quality.QualityError, match="show the patient key"):
+    with pytest.warns(UserWarning, match="show the patient key"):
         quality.require_target(shown, "k", {}, ["t"], "table")
+    with pytest.raises(quality.QualityError, match="v is missing in 1"):
+        quality.require_target(kept.withColumn("v", F.nullif("k", F.lit("a"))), "k", {}, [], "table", ["v"])
+
+
+def test_codes_compare_without_padding_and_case(spark):
+    facts = spark.createDataFrame([("D1 ",), ("d1",), ("D1",), (" D1",), (None,)], "code string")
+    codes = spark.createDataFrame([("D1  ", "one")], "c string, name string")
+    assert rows(joins.inner_lookup(facts, codes, "code", "c", name="name")) == [("D1 ", "one"), ("D1", "one"), ("d1", "one")]
+    assert joins.left_lookup(facts, codes, "code", "c", name="name").filter("name is null").count() == 2
+    numbers = spark.createDataFrame([(1, "x")], "c int, name string")
+    assert joins.inner_lookup(spark.range(3).withColumnRenamed("id", "n"), numbers, "n", "c", name="name").count() == 1

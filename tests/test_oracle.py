@@ -5,8 +5,10 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from adapter import queries as own
+from oracle import queries as oracle
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = own.all_queries(), oracle.all_queries()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

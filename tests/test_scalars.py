@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions import scalars as S
 from wardloom.functions.keys import match_key, normalise_id
+from wardloom.functions.predicates import n_or_null, one_of, wall_clock
 
 
 def apply(spark, values, data_type, *columns):
@@ -13,6 +14,26 @@ def apply(spark, values, data_type, *columns):
     return [tuple(r)[1:] for r in df.select("i", *columns).orderBy("i").collect()]
 
 
+def test_codes_in_predicates(spark):
+    got = apply(spark, ["A ", "a", "b", " a", None], "string", one_of("v", ["A"]), n_or_null("v"))
+    assert [g[0] for g in got] == [True, True, False, False, None]
+    assert [g[0] for g in apply(spark, ["N ", "n", "Y", None], "string", n_or_null("v"))] == [True, True, False, True]
+    codes = {"U": "0", "M": "1"}
+    assert apply(spark, ["m ", "U", "x"], "string", S.recode("v", codes, "9")) == [("1",), ("0",), ("9",)]
+
+
+def test_wall_clock_is_that_of_the_zone(spark):
+    apart = spark.range(1).select(
+        F.timestamp_diff("MINUTE", wall_clock("UTC"), wall_clock("Asia/Kolkata")).alias("m")
+    )
+    assert apart.first()[0] == 330
+
+
+def test_number_too_large_for_a_range_raises(spark):
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        apply(spark, ["99999999999999{5"], "string", *S.parse_reference_range("v"))
+
+
 def test_recode_sends_null_and_unknown_to_default(spark):
     codes = {"U": "0", "M": "1", "F": "2"}
     got = apply(spark, ["M", "F", "U", "X", None], "string", S.recode("v", codes, "9"))

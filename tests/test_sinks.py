@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from wardloom.operators.quality import QualityError
 from wardloom.sinks.delimited import write_delimited
@@ -41,6 +42,22 @@ def test_delimited_bytes(spark, tmp_path):
     assert sorted(got.split("\n")) == sorted(expected.getvalue().split("\n"))
 
 
+def test_booleans_and_single_floats(spark, tmp_path):
+    df = spark.createDataFrame([(1, True, 0.1), (2, False, 2.5), (3, None, None)], "i int, b boolean, r float")
+    write_delimited(df.coalesce(1), f"{tmp_path}/x.csv", single_file=True)
+    (part,) = glob.glob(f"{tmp_path}/x.csv/part-*")
+    assert sorted(open(part).read().split()) == ["1|True|0.10000000149011612", "2|False|2.5", "3||", "i|b|r"]
+
+
+def test_failed_export_leaves_the_old_one(spark, tmp_path):
+    write_delimited(spark.range(3), f"{tmp_path}/x.csv")
+    with pytest.raises(Exception, match="no such luck"):
+        write_delimited(spark.range(3).select(F.raise_error(F.lit("no such luck")).cast("int").alias("id")), f"{tmp_path}/x.csv")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/x.csv").count() == 3
+    write_delimited(spark.range(5), f"{tmp_path}/x.csv")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/x.csv").count() == 5
+
+
 def test_every_part_has_a_header(spark, tmp_path):
     write_delimited(spark.createDataFrame(VALUES, SCHEMA).repartition(3, "i"), f"{tmp_path}/x.csv")
     parts = glob.glob(f"{tmp_path}/x.csv/part-*")

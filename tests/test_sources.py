@@ -31,6 +31,12 @@ def test_catalog_sources(spark, tmp_path):
     assert Catalog.from_metastore(spark, {"t": "some_table"})["t"].count() == 4
 
 
+def test_jdbc_tables_are_partitioned_or_said_to_be_small(spark):
+    with pytest.raises(ValueError, match="partitionColumn"):
+        Catalog.from_jdbc(spark, "jdbc:none:", {"facts": {"dbtable": "facts"}})
+    assert "codes" in Catalog.from_jdbc(spark, "jdbc:none:", {"codes": {"dbtable": "codes", "small": "true"}})
+
+
 def test_code_list_positions(spark, tmp_path):
     lines = [f"C{i // 2},\"Factor {i}, wide\"" for i in range(4000)]
     (tmp_path / "one.csv").write_text("\n".join(["ICD10,Risk_Factor", *lines]) + "\n")

@@ -1,4 +1,4 @@
-"""Command line: ``python -m wardloom {check,refresh,export}``."""
+"""Command line: ``python -m wardloom {check,refresh,export,views}``."""
 
 from __future__ import annotations
 
@@ -13,9 +13,11 @@ from wardloom.params import Params
 from wardloom.plans.exports import EXPORTS
 from wardloom.plans.extracts import EXTRACTS
 from wardloom.plans.run import STAGED, export_all, refresh_all
+from wardloom.plans.views import VIEWS, publish_views
 from wardloom.session import build_session
 from wardloom.sinks.targets import TargetStore
 from wardloom.sources.catalog import Catalog
+from wardloom.sources.legacy_tables import LEGACY_SCHEMAS, legacy_schema
 from wardloom.sources.lookup import read_code_list
 from wardloom.sources.tables import SOURCE_TABLES, missing_columns
 
@@ -48,6 +50,13 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--prune", action="store_true", help="delete runs before the previous one")
         command.add_argument("--tables", nargs="*", choices=list(EXTRACTS))
 
+    command = add("views", "write the views over the older tables")
+    source = command.add_mutually_exclusive_group(required=True)
+    source.add_argument("--parquet", help="folder with one parquet folder per older table")
+    source.add_argument("--metastore", help="JSON file: logical name -> table")
+    command.add_argument("--out", required=True, help="folder for one parquet folder per view")
+    command.add_argument("--names", nargs="*", choices=list(VIEWS))
+
     command = add("export", "write export files")
     command.add_argument("--store", required=True)
     command.add_argument("--out", required=True)
@@ -71,6 +80,18 @@ def _catalog(spark: SparkSession, args: argparse.Namespace) -> Catalog:
     return catalog
 
 
+def _legacy_catalog(spark: SparkSession, args: argparse.Namespace) -> Catalog:
+    """The older tables; those that a column is missing from are an error."""
+    if args.parquet:
+        catalog = Catalog.from_parquet(spark, args.parquet, list(LEGACY_SCHEMAS))
+    else:
+        catalog = Catalog.from_metastore(spark, json.loads(Path(args.metastore).read_text()))
+    for name in LEGACY_SCHEMAS:
+        if name in catalog and (lacking := set(legacy_schema(name).names) - set(catalog[name].columns)):
+            raise ValueError(f"{name} lacks {', '.join(sorted(lacking))}")
+    return catalog
+
+
 def _params(args: argparse.Namespace) -> Params:
     given = {
         name: value
@@ -86,7 +107,12 @@ def main(arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
     spark = build_session()
     params = _params(args)
-    if args.command == "check":
+    if args.command == "views":
+        catalog = _legacy_catalog(spark, args)
+        for name in publish_views(catalog, params):
+            if args.names is None or name in args.names:
+                spark.table(name).write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+    elif args.command == "check":
         for table, columns in missing_columns(_catalog(spark, args)).items():
             print(f"{table}: {', '.join(columns)}")
     elif args.command == "refresh":

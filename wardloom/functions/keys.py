@@ -1,4 +1,4 @@
-"""Patient key comparison."""
+"""Comparison of keys and codes."""
 
 from __future__ import annotations
 
@@ -13,6 +13,12 @@ def match_key(key: Column | str) -> Column:
     return F.upper(F.rtrim(as_column(key)))
 
 
+def match_text(text: Column | str, ignore_case: bool = True) -> Column:
+    """The form in which codes are compared: without trailing spaces, and without case unless that counts."""
+    text = F.rtrim(as_column(text))
+    return F.upper(text) if ignore_case else text
+
+
 def normalise_id(value: Column | str) -> Column:
     """An encounter id without its spaces and colons."""
     return F.translate(as_column(value), " :", "")

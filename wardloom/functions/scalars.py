@@ -29,19 +29,19 @@ def as_timestamp(rows: DataFrame, column: str) -> Column:
 
 
 def recode(value: Column | str, codes: Mapping[str, str], default: str) -> Column:
-    """Replace a code; NULL and unlisted codes become ``default``."""
-    value = as_column(value)
+    """Replace a code, compared as codes are; NULL and unlisted codes become ``default``."""
+    value = F.upper(F.rtrim(as_column(value)))
     result = None
     for code, meaning in codes.items():
-        condition = value == F.lit(code)
+        condition = value == F.lit(code.rstrip(" ").upper())
         result = F.when(condition, meaning) if result is None else result.when(condition, meaning)
     return F.lit(default) if result is None else result.otherwise(default)
 
 
 def plain_decimal(text: Column | str) -> Column:
-    """Text as DECIMAL(18,5) where it is a plain number, else NULL."""
+    """Text as DECIMAL(18,5) where it is a plain number, else NULL; a number too large for that raises."""
     text = as_column(text)
-    return F.when(text.rlike(PLAIN_NUMBER), F.trim(text).try_cast(RANGE_TYPE))
+    return F.when(text.rlike(PLAIN_NUMBER), F.trim(text).cast(RANGE_TYPE))
 
 
 def parse_reference_range(text: Column | str) -> tuple[Column, Column]:

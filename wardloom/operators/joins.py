@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wardloom.functions.keys import match_key
+from wardloom.functions.keys import match_key, match_text
 
 COHORT_KEY = "UHL_System_Number"
 
@@ -40,6 +41,12 @@ def current(dimension: DataFrame) -> DataFrame:
     return dimension.filter(F.col("LOGICALLY_DELETED_FLAG") == 0)
 
 
+def _same_code(rows: DataFrame, on: str, looked_up: DataFrame) -> Column:
+    """Texts are compared as codes are, without trailing spaces and case; numbers as they are."""
+    texts = all(isinstance(df.schema[c].dataType, T.StringType) for df, c in ((rows, on), (looked_up, "_code")))
+    return match_text(on) == match_text("_code") if texts else F.col(on) == F.col("_code")
+
+
 def left_lookup(
     rows: DataFrame, dimension: DataFrame, on: str, code: str, **outputs: str
 ) -> DataFrame:
@@ -50,7 +57,7 @@ def left_lookup(
     looked_up = dimension.select(
         F.col(code).alias("_code"), *[F.col(c).alias(name) for name, c in outputs.items()]
     )
-    return rows.join(looked_up, F.col(on) == F.col("_code"), "left").drop("_code")
+    return rows.join(looked_up, _same_code(rows, on, looked_up), "left").drop("_code")
 
 
 def inner_lookup(
@@ -60,4 +67,4 @@ def inner_lookup(
     looked_up = dimension.select(
         F.col(code).alias("_code"), *[F.col(c).alias(name) for name, c in outputs.items()]
     )
-    return rows.join(looked_up, F.col(on) == F.col("_code")).drop("_code")
+    return rows.join(looked_up, _same_code(rows, on, looked_up)).drop("_code")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -64,18 +65,29 @@ def require_unique_patients(rows: DataFrame, key: str, table: str) -> None:
 
 
 def require_target(
-    rows: DataFrame, key: str, limits: Mapping[str, int], exported: Sequence[str], table: str
+    rows: DataFrame,
+    key: str,
+    limits: Mapping[str, int],
+    exported: Sequence[str],
+    table: str,
+    required: Sequence[str] = (),
 ) -> None:
-    """Key present, texts within their limits and no key among exported columns, in one pass."""
+    """Key and ``required`` columns present, and texts within their limits, in one pass.
+
+    Rows of which an exported column equals the patient key are reported by a
+    warning: identifiers of other things may coincide with it.
+    """
+    needed = list(dict.fromkeys([key, *required]))
     checked = rows.agg(
-        F.count_if(F.col(key).isNull()).alias("_nulls"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_nulls_{c}") for c in needed],
         F.count_if(exposes_key(rows, key, exported)).alias("_exposed"),
         *[F.max(F.length(F.rtrim(F.col(c)))).alias(c) for c in limits],
     ).first()
-    if checked["_nulls"]:
-        raise QualityError(f"{table}: {key} is missing in {checked['_nulls']} rows")
+    for c in needed:
+        if checked[f"_nulls_{c}"]:
+            raise QualityError(f"{table}: {c} is missing in {checked[f'_nulls_{c}']} rows")
     if checked["_exposed"]:
-        raise QualityError(f"{table}: {checked['_exposed']} rows show the patient key in another column")
+        warnings.warn(f"{table}: {checked['_exposed']} rows show the patient key in an exported column", stacklevel=2)
     too_long = {c: checked[c] for c, n in limits.items() if (checked[c] or 0) > n}
     if too_long:
         raise QualityError(f"{table}: text over its limit: {too_long}")

@@ -12,12 +12,14 @@ class Params:
 
     ``cutoff`` is midnight of the last day: an event later on that day is
     outside the study.  ``as_of`` stands in for "now" so that a run can be
-    repeated; left empty it is the time at which Spark runs the query.
+    repeated; left empty it is the time at which Spark runs the query, on a
+    clock in ``time_zone``, where the sources' times were taken.
     """
 
     study_start: datetime = datetime(2020, 1, 1)
     cutoff: datetime = datetime(2021, 6, 30)
     as_of: datetime | None = None
+    time_zone: str = "Europe/London"
 
     #: constant last column of every export, and the first two of every legacy view
     provenance: str = "Research Centre"

@@ -242,8 +242,22 @@ TEXT_LIMITS: dict[str, dict[str, int]] = {
         "observation_result": 50,
         "observation_unit": 50,
     },
+    "blood_test": {
+        "laboratory_department": 20,
+        "order_name": 30,
+        "test_result": 8,
+        "test_result_unit": 12,
+        "result_flag": 2,
+    },
+    "riskfactors": {
+        "icd_code": 50,
+        "risk_factor_name": 500,
+    },
 }
 
+#: columns besides the key that have to hold a value
+REQUIRED: dict[str, tuple[str, ...]] = {"observations": ("observation_id",)}
+
 #: tables with one row per patient
 UNIQUE_KEY = frozenset({"demographics"})
 

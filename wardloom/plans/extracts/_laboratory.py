@@ -36,4 +36,6 @@ def cohort_results(catalog: Catalog, in_study: Column) -> DataFrame:
         "uhl_system_number",
         catalog["all_suspected_covid"],
     )
-    return results.join(orders, "order_no").join(patients, "requester").drop("order_no", "requester")
+    # the cohort's orders first: of the results, only theirs go further
+    cohort_orders = orders.join(patients, "requester").drop("requester")
+    return results.join(cohort_orders, "order_no").drop("order_no")

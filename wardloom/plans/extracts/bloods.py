@@ -35,38 +35,30 @@ def cohort_requesters(catalog: Catalog) -> DataFrame:
     )
 
 
-def received_results(catalog: Catalog, params: Params) -> DataFrame:
-    """Results received from the study start on, with the order they belong to."""
-    results = (
-        catalog["HAEM_RESULTS_FILE"]
-        .filter(from_start("WHO_RECEIVE_DATE_TIME", params.study_start))
-        .select(
-            F.col("ISRN").alias("result_id"),
-            F.col("Order_No").alias("order_no"),
-            F.col("WHO_COLLECTION_DATE_TIME").alias("sample_collected_date_time"),
-        )
-    )
+def cohort_orders(catalog: Catalog) -> DataFrame:
+    """Orders of cohort patients; the small side comes first, so that no other order is shuffled further."""
     orders = catalog["ORDERS_FILE"].select(
         F.col("Order_Number").alias("order_no"),
         F.col("D_Level_Pointer").alias("requester"),
         F.col("Lab_Ref_No").alias("laboratory_department"),
     )
-    return results.join(orders, "order_no").drop("order_no")
+    return orders.join(cohort_requesters(catalog), "requester").drop("requester")
 
 
 def patient_results(catalog: Catalog, params: Params) -> DataFrame:
-    """Results of cohort patients."""
+    """Results of cohort patients, received from the study start on."""
     if PATIENT_RESULTS in catalog:
         return catalog[PATIENT_RESULTS]
-    return received_results(catalog, params).join(cohort_requesters(catalog), "requester").drop("requester")
-
-
-def staging_keys(catalog: Catalog, params: Params) -> dict[str, tuple[DataFrame, str]]:
-    """Intermediate results whose key has to be unique."""
-    return {
-        "blood test patients": (cohort_requesters(catalog), "requester"),
-        "blood test results": (received_results(catalog, params), "result_id"),
-    }
+    results = (
+        catalog["HAEM_RESULTS_FILE"]
+        .filter(from_start("WHO_RECEIVE_DATE_TIME", params.study_start))
+        .select(
+            F.col("ISRN").alias("result_id"),
+            F.col("Order_No").alias("order_no"),
+            F.col("WHO_COLLECTION_DATE_TIME").alias("sample_collected_date_time"),
+        )
+    )
+    return results.join(cohort_orders(catalog), "order_no").drop("order_no")
 
 
 def build(catalog: Catalog, params: Params) -> DataFrame:

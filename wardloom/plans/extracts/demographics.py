@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.functions.keys import match_key
+from wardloom.functions.predicates import one_of
 from wardloom.functions.scalars import age_at, null_of, recode
 from wardloom.operators.joins import COHORT_KEY, left_lookup
 from wardloom.operators.timeline import latest_per_key
@@ -24,7 +25,7 @@ def smoking_status(catalog: Catalog, params: Params) -> DataFrame:
     """The most recent smoking diagnosis per patient."""
     diagnoses = (
         catalog["DIAGNOSES"]
-        .filter(F.col("WHO_DIAGNOSIS_CODE").isin(SMOKING_CODES))
+        .filter(one_of("WHO_DIAGNOSIS_CODE", SMOKING_CODES))
         .select(
             F.col("CONSULTANT_EPISODES_ID").alias("episode_identifier"),
             "DIAGNOSIS_DATE",

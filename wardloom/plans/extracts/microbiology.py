@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.functions.predicates import from_start
+from wardloom.functions.predicates import from_start, one_of
 from wardloom.operators.joins import inner_lookup
 from wardloom.params import Params
 from wardloom.plans.extracts._laboratory import cohort_results
@@ -32,7 +32,7 @@ def organisms_found(catalog: Catalog) -> DataFrame:
         quantity="Quantity_Description",
         significant="Rec_as_Signif_Growth",
     )
-    growth = F.when(F.col("significant") == "Y", "Yes").otherwise("No")
+    growth = F.when(one_of("significant", ["Y"]), "Yes").otherwise("No")
     return rows.select("test_id", "organism", "quantity", growth.alias("significant_growth"))
 
 

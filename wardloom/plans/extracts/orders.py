@@ -20,7 +20,7 @@ def build(catalog: Catalog, params: Params) -> DataFrame:
     events = (
         catalog["CRIS_EVENTS_TBL"]
         .filter(from_start("Request_Date_Time", params.study_start))
-        .filter(until("Request_Date_Time", params.as_of))
+        .filter(until("Request_Date_Time", params.as_of, params.time_zone))
     )
     requests = catalog["CRIS_ORDERS_TBL"].select(
         F.col("ORDER_ID").alias("order_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.functions.predicates import from_start
+from wardloom.functions.predicates import from_start, one_of
 from wardloom.functions.scalars import clean_quantity, contains_text, null_of
 from wardloom.operators.joins import left_lookup
 from wardloom.params import Params
@@ -21,7 +21,7 @@ ORGANISM_TEXT = "CoV"
 def build(catalog: Catalog, params: Params) -> DataFrame:
     tests = (
         catalog["MICRO_TESTS"]
-        .filter(F.col("Test_code").isin([*DIRECT_TESTS, PANEL_TEST]))
+        .filter(one_of("Test_code", [*DIRECT_TESTS, PANEL_TEST]))
         .select(
             F.col("Micro_Tests").alias("test_id"),
             F.col("Micro_Results_File").alias("result_id"),
@@ -37,9 +37,9 @@ def build(catalog: Catalog, params: Params) -> DataFrame:
     rows = left_lookup(
         rows, catalog["MICRO_ORGANISMS"], "test_id", "Micro_Tests", organism="Organism", quantifier="Quantifier"
     )
-    is_panel = F.col("test_code") == PANEL_TEST
+    is_panel = one_of("test_code", [PANEL_TEST])
     found = contains_text("organism", ORGANISM_TEXT, params.ignore_case)
-    rows = rows.filter(F.col("test_code").isin(DIRECT_TESTS) | (is_panel & found))
+    rows = rows.filter(one_of("test_code", DIRECT_TESTS) | (is_panel & found))
     rows = left_lookup(
         rows,
         catalog["MF_TEST_CODES_MICRO_WHO"],

@@ -18,17 +18,23 @@ SCHEMA = f"{IDENTIFIER} string, {KEY} string"
 def new_participants(people: DataFrame, registry: DataFrame, params: Params) -> DataFrame:
     """Identifiers for the people who have none yet.
 
-    The identifier is a salted digest of the key, so a run that is repeated
-    after a failure gives the same ones.  The salt must be kept secret and
-    must not change during a study.
+    The identifier is the start of a salted digest of the key, so a run that is
+    repeated after a failure gives the same ones; where that start is taken, by
+    the registry or another new key, it is the whole digest.  The salt must be
+    kept secret and must not change during a study.
     """
     if not params.salt:
         raise ValueError("a salt is needed to allocate identifiers")
     missing = missing_on_key(people.select(KEY), KEY, registry, KEY)
     people = missing.groupBy(match_key(KEY).alias("_key")).agg(F.min(KEY).alias(KEY))
     digest = F.sha2(F.concat(F.lit(params.salt), F.col("_key")), 256)
-    identifier = F.concat(F.lit(params.id_prefix), F.substring(digest, 1, params.id_digits))
-    return people.select(identifier.alias(IDENTIFIER), KEY)
+    short = F.concat(F.lit(params.id_prefix), F.substring(digest, 1, params.id_digits))
+    named = people.select(KEY, short.alias("_short"), F.concat(F.lit(params.id_prefix), digest).alias("_whole"))
+    shared = named.groupBy("_short").agg(F.count(F.lit(1)).alias("_keys")).filter("_keys > 1")
+    known = registry.select(F.col(IDENTIFIER).alias("_taken"))
+    taken = known.unionByName(shared.select(F.col("_short").alias("_taken"))).distinct()
+    identifier = F.when(F.col("_taken").isNull(), F.col("_short")).otherwise(F.col("_whole"))
+    return named.join(taken, F.col("_short") == F.col("_taken"), "left").select(identifier.alias(IDENTIFIER), KEY)
 
 
 def register_participants(people: DataFrame, registry: DataFrame, params: Params) -> DataFrame:

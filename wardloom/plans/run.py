@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from wardloom.operators.quality import require_target, require_unique, require_unique_patients
 from wardloom.params import Params
 from wardloom.plans import registry as registry_plan
-from wardloom.plans.contracts import KEY, UNIQUE_KEY, require_contract, text_limits
+from wardloom.plans.contracts import KEY, REQUIRED, UNIQUE_KEY, require_contract, text_limits
 from wardloom.plans.exports import EXPORTS, eligible_patients, export_rows
 from wardloom.plans.extracts import EXTRACTS, bloods
 from wardloom.plans.spells import SPELL_EPISODES, SPELLS, spell_episodes, spells
@@ -49,7 +49,7 @@ def check_target(table: str):
 
     def check(rows: DataFrame) -> None:
         columns = [c for c in rows.columns if c in exported]
-        require_target(rows, KEY, text_limits(table), columns, table)
+        require_target(rows, KEY, text_limits(table), columns, table, REQUIRED.get(table, ()))
         if table in UNIQUE_KEY:
             require_unique_patients(rows, KEY, table)
 
@@ -80,9 +80,8 @@ def update_registry(people: DataFrame, store: TargetStore, params: Params) -> No
 
 
 def with_patient_results(catalog: Catalog, store: TargetStore, params: Params) -> Catalog:
-    """Check the keys of the steps before the blood tests, and write the last of them."""
-    for name, (rows, key) in bloods.staging_keys(catalog, params).items():
-        require_unique(rows, key, table=name)
+    """Write the cohort's blood results once, and check what was written."""
+    require_unique(bloods.cohort_requesters(catalog), "requester", table="blood test patients")
     results = store.replace(
         bloods.PATIENT_RESULTS,
         bloods.patient_results(catalog, params),

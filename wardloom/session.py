@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -29,6 +32,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which all executors reach.
+
+    Only a local session, whose executors are the driver, may do without that setting.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="wardloom-")
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def build_session(app_name: str = "wardloom", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -7,6 +7,8 @@ quoted text if another row ending were set.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,6 +70,11 @@ def as_text(rows: DataFrame) -> DataFrame:
             return timestamp_text(value).alias(field.name)
         if isinstance(field.dataType, T.DoubleType):
             return float_text(value).alias(field.name)
+        if isinstance(field.dataType, T.FloatType):
+            # the exact value, as a double
+            return float_text(value.cast("double")).alias(field.name)
+        if isinstance(field.dataType, T.BooleanType):
+            return F.when(value, "True").when(~value, "False").alias(field.name)
         return value
 
     return rows.select(*[column(f) for f in rows.schema.fields])
@@ -77,9 +84,18 @@ def write_delimited(rows: DataFrame, path: str, single_file: bool = False) -> No
     """Write a folder of files, each with a header.
 
     ``single_file`` puts all rows in one file through one task; leave it off
-    for large exports.
+    for large exports.  Files are written beside ``path`` and put in its place
+    at the end, so a failed export leaves the old one.
     """
     text = as_text(rows)
     if single_file:
         text = text.repartition(1)
-    text.write.mode("overwrite").options(**OPTIONS).csv(path)
+    spark = rows.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.new-{uuid.uuid4().hex}")
+    text.write.options(**OPTIONS).csv(beside.toString())
+    # the old export goes only now that the new one is complete; in an object store this takes several steps
+    files.delete(target, True)
+    if not files.rename(beside, target):
+        raise OSError(f"{beside} could not take the place of {path}")

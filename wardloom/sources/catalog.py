@@ -68,11 +68,17 @@ class Catalog:
     ) -> Catalog:
         """Logical name -> JDBC read options.
 
-        Give large tables ``partitionColumn``, ``lowerBound``, ``upperBound``
-        and ``numPartitions``, without which one task reads the whole table.
+        Without ``partitionColumn``, ``lowerBound``, ``upperBound`` and
+        ``numPartitions`` one task reads the whole table, so they have to be
+        given, or ``"small": "true"`` for a code list or the like.
         """
+        parts = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
         def loader(options: Mapping[str, str]) -> Loader:
+            options = dict(options)
+            small = str(options.pop("small", "false")).lower() == "true"
+            if not small and not all(p in options for p in parts):
+                raise ValueError(f"{options.get('dbtable')}: give {', '.join(parts)}, or say that the table is small")
             return lambda: (
                 spark.read.format("jdbc").options(url=url, **connection).options(**options).load()
             )
