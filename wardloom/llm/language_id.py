@@ -8,12 +8,12 @@ texts. In use, the filters' responses to byte pairs are tabulated, so that a pos
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ from wardloom.llm.sampling import held_out, sample_keys
 WINDOW, WIDTHS, FILTERS, DEPTH = 256, (2, 3, 4), 16, 8
 #: Labelled texts of each language to train on, at most, and windows of each.
 SAMPLE, CROPS = 800, 4
-LETTER = re.compile(r"[^\W\d_]").search
+LETTER = regex.compile(r"\p{L}").search
 UNKNOWN = "und"
 
 
