@@ -29,9 +29,11 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
     reachable(spark)
     left = line_dedup.deduplicated(docs)
     emptied = (F.col("_lines_removed") > 0) & (F.trim("text") == "")
-    size = F.when(F.col("_lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     kept = left.filter(~F.coalesce(emptied, F.lit(False)))
-    return kept.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("_lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
