@@ -74,11 +74,15 @@ def _hours(column: str, hours: str) -> str:
     return f"timestampadd(HOUR, cast({hours} as int), {column})"
 
 
-# name -> (test table, filter or None, columns as "expression as name")
-WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
+def _missing(key: str, matched: str) -> str:
+    """A numeric key that nothing refers to, but where ``matched`` holds."""
+    return f"case when {matched} then {key} else -1 - ({key}) end"
+
+
+# name -> (test table, columns as "expression as name"); every row of the test table is there
+WAREHOUSE: dict[str, tuple[str, list[str]]] = {
     "PATIENT": (
         "customer",
-        None,
         [
             "c_custkey as ID",
             "c_name as SYSTEM_NUMBER",
@@ -91,10 +95,9 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
             f"{POSTCODE} as Post_Code",
         ],
     ),
-    "MF_ETHNIC_ORIGIN": ("nation", "n_nationkey < 20", ["n_nationkey as code", "n_name as ethnic_origin"]),
+    "MF_ETHNIC_ORIGIN": ("nation", [_missing("n_nationkey", "n_nationkey < 20") + " as code", "n_name as ethnic_origin"]),
     "ADMISSIONS": (
         "orders",
-        None,
         [
             "o_orderkey as ID",
             "o_custkey as PATIENT_ID",
@@ -110,7 +113,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_METHOD_OF_ADMISSION": (
         "region",
-        None,
         [
             "element_at(array('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'),"
             " r_regionkey + 1) as CODE",
@@ -121,9 +123,8 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_SOURCE_OF_ADMISSION": (
         "region",
-        "r_regionkey < 4",
         [
-            "element_at(array('F', 'O', 'P', 'P'), r_regionkey + 1) as CODE",
+            "element_at(array('F', 'O', 'P', 'P', '-'), r_regionkey + 1) as CODE",
             "concat('S', r_regionkey) as NC_SOURCE_OF_ADMISSION",
             "r_name as NC_SOURCE_OF_ADMISSION_NAME",
             "case when r_regionkey = 2 then 1 else 0 end as LOGICALLY_DELETED_FLAG",
@@ -131,9 +132,8 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_METHOD_OF_DISCHARGE": (
         "region",
-        "r_regionkey < 3",
         [
-            "element_at(array('F', 'O', 'P'), r_regionkey + 1) as CODE",
+            "element_at(array('F', 'O', 'P', '-', '-'), r_regionkey + 1) as CODE",
             "concat('X', r_regionkey) as NC_DISCHARGE_METHOD",
             "r_name as NC_DISCHARGE_METHOD_NAME",
             "case when r_regionkey = 1 then 1 else 0 end as LOGICALLY_DELETED_FLAG",
@@ -141,7 +141,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "CONSULTANT_EPISODES": (
         "lineitem",
-        None,
         [
             f"{LINE_ID} as ID",
             "l_orderkey as ADMISSIONS_ID",
@@ -153,9 +152,8 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_SPECIALTY": (
         "nation",
-        "n_nationkey < 9",
         [
-            "n_nationkey as CODE",
+            _missing("n_nationkey", "n_nationkey < 9") + " as CODE",
             "cast(n_nationkey * 10 + 100 as string) as DHSS_CODE",
             "n_name as NC_SPECIALTY_NAME",
             "case when n_nationkey = 8 then 1 else 0 end as LOGICALLY_DELETED_FLAG",
@@ -163,7 +161,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_WARD": (
         "nation",
-        None,
         [
             "n_nationkey as CODE",
             "n_name as WARD",
@@ -173,7 +170,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     # two current rows for every code
     "MF_HOSPITAL": (
         "nation",
-        None,
         [
             "n_nationkey % 5 as CODE",
             "n_name as HOSPITAL",
@@ -182,27 +178,24 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_DIAGNOSIS": (
         "part",
-        "p_partkey % 7 <> 0",
         [
-            "concat('D', p_partkey) as DIAGNOSIS_CODE",
+            "concat(case when p_partkey % 7 <> 0 then 'D' else '-' end, p_partkey) as DIAGNOSIS_CODE",
             "p_name as DIAGNOSIS_DESCRIPTION",
             "case when p_size % 10 = 0 then 1 else 0 end as LOGICALLY_DELETED_FLAG",
         ],
     ),
     "MF_OPCS4": (
         "part",
-        "p_partkey % 7 <> 0",
         [
-            "concat('P', p_partkey) as PROCEDURE_CODE",
+            "concat(case when p_partkey % 7 <> 0 then 'P' else '-' end, p_partkey) as PROCEDURE_CODE",
             "p_name as PROCEDURE_DESCRIPTION",
             "case when p_size % 10 = 0 then 1 else 0 end as LOGICALLY_DELETED_FLAG",
         ],
     ),
     "PROCEDURES": (
         "lineitem",
-        "l_returnflag <> 'N'",
         [
-            f"{LINE_ID} as CONSULTANT_EPISODES_ID",
+            _missing(LINE_ID, "l_returnflag <> 'N'") + " as CONSULTANT_EPISODES_ID",
             "l_shipdate as PROCEDURE_DATE",
             "l_linenumber as PROCEDURE_NUMBER",
             "concat('P', l_partkey) as PROCEDURE_CODE",
@@ -211,7 +204,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "TRANSFERS": (
         "lineitem",
-        None,
         [
             "case when l_linenumber = 1 then "
             + SPLIT_ORDER.format("cast(l_orderkey as string)")
@@ -229,12 +221,10 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "REQUEST_PATIENT_DETAILS": (
         "customer",
-        None,
         ["concat('RPD', c_custkey) as Request_Patient_Details", "c_name as Hospital_Number"],
     ),
     "ORDERS_FILE": (
         "orders",
-        None,
         [
             "o_orderkey as Order_Number",
             "concat('RPD', o_custkey) as D_Level_Pointer",
@@ -244,17 +234,15 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "HAEM_RESULTS_FILE": (
         "orders",
-        "o_orderkey % 2 = 0",
         [
             "concat('H', o_orderkey) as ISRN",
-            "o_orderkey as Order_No",
+            _missing("o_orderkey", "o_orderkey % 2 = 0") + " as Order_No",
             "o_orderdate as WHO_COLLECTION_DATE_TIME",
             _hours("o_orderdate", "o_orderkey % 24") + " as WHO_RECEIVE_DATE_TIME",
         ],
     ),
     "HAEM_TESTS": (
         "lineitem",
-        None,
         [
             "l_orderkey as id",
             "cast(cast(l_quantity as int) as string) as Result",
@@ -274,20 +262,23 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_TEST_CODES_HAEM_WHO": (
         "supplier",
-        "s_suppkey % 6 <> 0",
-        ["concat('T', s_suppkey) as Test_Codes_Row_ID", "s_name as Test_Expansion"],
+        [
+            "concat(case when s_suppkey % 6 <> 0 then 'T' else '-' end, s_suppkey) as Test_Codes_Row_ID",
+            "s_name as Test_Expansion",
+        ],
     ),
     "MF_TEST_CODES_MICRO_WHO": (
         "supplier",
-        "s_suppkey % 5 <> 0",
-        ["concat('T', s_suppkey) as Test_Codes_Row_ID", "s_name as Test_Expansion"],
+        [
+            "concat(case when s_suppkey % 5 <> 0 then 'T' else '-' end, s_suppkey) as Test_Codes_Row_ID",
+            "s_name as Test_Expansion",
+        ],
     ),
     "MICRO_RESULTS_FILE": (
         "orders",
-        "o_orderkey % 2 = 1",
         [
             "concat('M', o_orderkey) as ISRN",
-            "o_orderkey as Order_No",
+            _missing("o_orderkey", "o_orderkey % 2 = 1") + " as Order_No",
             "o_orderdate as WHO_COLLECTION_DATE_TIME",
             _hours("o_orderdate", "o_orderkey % 24") + " as WHO_RECEIVE_DATE_TIME",
             "concat('SITE', o_orderkey % 6) as specimen_site",
@@ -295,7 +286,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MICRO_TESTS": (
         "lineitem",
-        None,
         [
             f"{LINE_ID} as Micro_Tests",
             "concat('M', l_orderkey) as Micro_Results_File",
@@ -310,17 +300,15 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "MF_ORGANISM_CODES": (
         "nation",
-        "n_nationkey < 5",
         [
-            "concat('OC', n_nationkey) as Organism_code",
+            "concat(case when n_nationkey < 5 then 'OC' else '-' end, n_nationkey) as Organism_code",
             "case when n_nationkey = 4 then 'X' else 'O' end as Organism_category",
         ],
     ),
     "MF_QUANTITY_CODES": (
         "nation",
-        "n_nationkey < 5",
         [
-            "n_nationkey as APEX_ID",
+            _missing("n_nationkey", "n_nationkey < 5") + " as APEX_ID",
             "case when n_nationkey <> 3 then concat('* ', n_name, ' *') end as Quantity_Description",
             "case n_nationkey when 0 then 'Y' when 1 then 'N' end as Rec_as_Signif_Growth",
         ],
@@ -328,13 +316,11 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     # the first three sources are there twice
     "REQUEST_SOURCE_DETAILS": (
         "nation",
-        "n_nationkey < 13",
-        ["n_nationkey % 10 as Request_Source_Details"],
+        [_missing("n_nationkey % 10", "n_nationkey < 13") + " as Request_Source_Details"],
     ),
-    "tciPerson": ("customer", None, ["c_custkey as id", "c_name as externalId"]),
+    "tciPerson": ("customer", ["c_custkey as id", "c_name as externalId"]),
     "tciMedication": (
         "orders",
-        None,
         [
             "o_orderkey as id",
             "o_custkey as personId",
@@ -349,7 +335,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "tciAdminEvent": (
         "lineitem",
-        None,
         [
             f"{LINE_ID} as id",
             "l_orderkey as medicationid",
@@ -365,7 +350,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "tciMedicationDose": (
         "lineitem",
-        None,
         [
             f"{LINE_ID} as id",
             "l_orderkey as medicationid",
@@ -376,58 +360,56 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
             "l_suppkey % 5 as roa",
         ],
     ),
-    "udmProduct": ("part", None, ["p_partkey as ID"]),
+    "udmProduct": ("part", ["p_partkey as ID"]),
     "udmDrugClassBrand": (
         "part",
-        "p_partkey < 40",
-        ["p_partkey as ID", "p_partkey % 22 as DrugClassActiveIngredientSetID"],
+        [_missing("p_partkey", "p_partkey not in (40, 41)") + " as ID", "p_partkey % 22 as DrugClassActiveIngredientSetID"],
     ),
-    "udmDrugClassAIS": ("nation", "n_nationkey < 20", ["n_nationkey as ID", "n_nationkey % 9 as DrugClassID"]),
+    "udmDrugClassAIS": ("nation", [_missing("n_nationkey", "n_nationkey < 20") + " as ID", "n_nationkey % 9 as DrugClassID"]),
     "udmDrugClass": (
         "nation",
-        "n_nationkey < 8",
-        ["n_nationkey as ID", "case when n_nationkey <> 5 then n_name end as name"],
+        [_missing("n_nationkey", "n_nationkey < 8") + " as ID", "case when n_nationkey <> 5 then n_name end as name"],
     ),
     # the first route is there twice
     "MF_DOSAGE_ASSIST_ROUTE_OF_ADMINISTRATION_WHO": (
         "nation",
-        "n_nationkey < 5",
-        ["n_nationkey % 4 as reference", "n_name as name"],
+        [_missing("n_nationkey % 4", "n_nationkey < 5") + " as reference", "n_name as name"],
+    ),
+    "MF_DOSAGE_ASSIST_FORM_CODES_WHO": (
+        "nation",
+        [_missing("n_nationkey", "n_nationkey < 6") + " as CODE", "n_name as Name"],
     ),
-    "MF_DOSAGE_ASSIST_FORM_CODES_WHO": ("nation", "n_nationkey < 6", ["n_nationkey as CODE", "n_name as Name"]),
     "MF_DOSAGE_ASSIST_FREQUENCY_WHO": (
         "nation",
-        "n_nationkey < 5",
-        ["n_nationkey as CODE", "concat(n_nationkey + 1, ' a day') as frequency_narrative"],
+        [_missing("n_nationkey", "n_nationkey < 5") + " as CODE", "concat(n_nationkey + 1, ' a day') as frequency_narrative"],
     ),
     "CRIS_EXAMS_TBL": (
         "lineitem",
-        None,
         ["l_orderkey as EVENT_KEY", f"{LINE_ID} as EXAM_KEY", "concat('EX', l_suppkey) as EXAMINATION"],
     ),
     "CRIS_EVENTS_TBL": (
         "orders",
-        None,
         [
             "o_orderkey as EVENT_KEY",
             _hours("o_orderdate", "o_orderkey % 24") + " as Request_Date_Time",
         ],
     ),
-    "CRIS_EXAMCD_TBL": ("supplier", "s_suppkey % 8 <> 0", ["concat('EX', s_suppkey) as CODE", "s_name as NAME"]),
+    "CRIS_EXAMCD_TBL": (
+        "supplier",
+        ["concat(case when s_suppkey % 8 <> 0 then 'EX' else '-' end, s_suppkey) as CODE", "s_name as NAME"],
+    ),
     "CRIS_ORDERS_TBL": (
         "lineitem",
-        "l_linenumber <= 4",
         [
             f"concat('RO', {LINE_ID}) as ORDER_ID",
-            f"{LINE_ID} as EXAM_KEY",
+            _missing(LINE_ID, "l_linenumber <= 4") + " as EXAM_KEY",
             "l_partkey as PASLINK_KEY",
             _days("l_shipdate", "2") + " as SCHEDULE_DATE",
         ],
     ),
-    "CRIS_HIS_TBL": ("customer", None, ["c_custkey as PASLINK_KEY", "c_name as HIS_ID"]),
+    "CRIS_HIS_TBL": ("customer", ["c_custkey as PASLINK_KEY", "c_name as HIS_ID"]),
     "F_PAT_PRESENT": (
         "events",
-        None,
         [
             f"{USER_KEY} as PP_IDENTIFIER",
             "event_id as visitid",
@@ -445,7 +427,6 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     # "signup" has no score and "lost" no value column: neither is a measure
     "ObsExport": (
         "events",
-        None,
         [
             "cast(event_id as int) as ObsId",
             f"{USER_KEY} as `System Number > Patient ID`",
@@ -467,18 +448,17 @@ WAREHOUSE: dict[str, tuple[str, str | None, list[str]]] = {
     # some keys are in another case than that of the patients
     "participant": (
         "customer",
-        "c_custkey % 15 <> 14",
         [
             "concat('HCVPt', substring(sha2(concat('salt', c_name), 256), 1, 16)) as participant_identifier",
-            "case when c_custkey % 4 = 1 then upper(c_name) else c_name end as uhl_system_number",
+            "case when c_custkey % 15 = 14 then concat('-', c_name) when c_custkey % 4 = 1 then upper(c_name)"
+            " else c_name end as uhl_system_number",
         ],
     ),
 }
 
-LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
+LEGACY: dict[str, tuple[str, list[str]]] = {
     "demographics": (
         "customer",
-        None,
         [
             "c_custkey as id",
             "concat('PI', c_custkey) as participant_identifier",
@@ -495,7 +475,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "virology": (
         "lineitem",
-        None,
         [
             f"{PART_KEY} as uhl_system_number",
             "concat('LAB', l_suppkey % 3) as laboratory_code",
@@ -512,7 +491,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "emergency": (
         "events",
-        None,
         [
             "event_id as visitid",
             f"{USER_KEY} as uhl_system_number",
@@ -529,7 +507,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "episode": (
         "orders",
-        None,
         [
             "cast(o_orderkey as string) as spell_id",
             "concat('E', o_orderkey) as episode_id",
@@ -553,7 +530,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "diagnosis": (
         "lineitem",
-        None,
         [
             "cast(l_orderkey as string) as spell_id",
             f"cast({LINE_ID} as string) as episode_id",
@@ -565,7 +541,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "procedure": (
         "lineitem",
-        "l_returnflag <> 'N'",
         [
             "cast(l_orderkey as string) as spell_id",
             f"cast({LINE_ID} as string) as episode_id",
@@ -577,7 +552,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "transfer": (
         "lineitem",
-        None,
         [
             "cast(l_orderkey as string) as spell_id",
             f"cast({LINE_ID} as string) as transfer_id",
@@ -592,7 +566,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "blood_test": (
         "lineitem",
-        None,
         [
             f"{PART_KEY} as uhl_system_number",
             "concat('TC', l_suppkey % 9) as test_code",
@@ -608,7 +581,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "microbiology_test": (
         "lineitem",
-        None,
         [
             f"{PART_KEY} as uhl_system_number",
             "concat('MO', l_suppkey % 7) as order_code",
@@ -623,7 +595,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "prescribing": (
         "lineitem",
-        None,
         [
             f"cast({LINE_ID} as string) as order_id",
             f"{PART_KEY} as uhl_system_number",
@@ -640,7 +611,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "administration": (
         "lineitem",
-        None,
         [
             f"cast({LINE_ID} as string) as administration_id",
             f"{PART_KEY} as uhl_system_number",
@@ -654,7 +624,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "observation": (
         "events",
-        None,
         [
             "event_id as observation_id",
             f"{USER_KEY} as uhl_system_number",
@@ -667,7 +636,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "critical_care_period": (
         "orders",
-        "o_orderkey % 6 = 0",
         [
             "cast(o_orderkey as string) as ccp_id",
             f"{ORDER_KEY} as uhl_system_number",
@@ -696,7 +664,6 @@ LEGACY: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "order": (
         "orders",
-        None,
         [
             "cast(o_orderkey as string) as order_id",
             f"{ORDER_KEY} as uhl_system_number",
@@ -728,11 +695,10 @@ for _name, _modulus in (
 ):
     WAREHOUSE[_name] = (
         "orders",
-        f"o_orderkey % {_modulus} = 0",
         [
-            "cast(o_orderkey as string) as ID",
+            f"concat(case when o_orderkey % {_modulus} = 0 then '' else '-' end, o_orderkey) as ID",
             "o_custkey as PATIENT_ID",
-            "o_orderkey as ADMISSIONS_ID",
+            _missing("o_orderkey", f"o_orderkey % {_modulus} = 0") + " as ADMISSIONS_ID",
             "cast(o_orderdate as date) as CCP_START_DATE",
             _hours("o_orderdate", "o_orderkey % 24") + " as CCP_START_DATE_TIME",
             "case when o_orderkey % 9 <> 0 then "
@@ -772,12 +738,11 @@ def _diagnoses(lineitem: DataFrame) -> DataFrame:
 def _organisms(lineitem: DataFrame) -> DataFrame:
     """None to two organisms per test."""
     return (
-        lineitem.filter("l_partkey % 3 > 0")
-        .selectExpr(
+        lineitem.selectExpr(
             f"{LINE_ID} as Micro_Tests",
             "l_partkey",
             "l_suppkey",
-            "explode(sequence(1, cast(l_partkey % 3 as int))) as k",
+            "explode(slice(array(1, 2), 1, cast(l_partkey % 3 as int))) as k",
         )
         .selectExpr(
             "Micro_Tests",
@@ -792,17 +757,18 @@ def _organisms(lineitem: DataFrame) -> DataFrame:
 def _product_brands(part: DataFrame) -> DataFrame:
     """One or two brands per product, none for some."""
     return (
-        part.filter("p_partkey % 17 <> 0")
-        .selectExpr("p_partkey as ProductID", "explode(sequence(0, 1 - p_size % 2)) as k")
-        .selectExpr("ProductID", "(ProductID + 7 * k) % 42 as DrugClassBrandID")
+        part.selectExpr("p_partkey", "explode(sequence(0, 1 - p_size % 2)) as k").selectExpr(
+            _missing("p_partkey", "p_partkey % 17 <> 0") + " as ProductID", "(p_partkey + 7 * k) % 42 as DrugClassBrandID"
+        )
     )
 
 
 def _postcodes(nation: DataFrame) -> DataFrame:
     """Deprivation of some postcodes."""
-    return nation.filter("n_nationkey < 14").selectExpr(
+    return nation.selectExpr(
         "case when n_nationkey < 9 then concat('QX', n_nationkey + 1, ' 1AA')"
-        " else concat('QX1', n_nationkey - 8, ' 2BB') end as UNIT_POSTCODE",
+        " when n_nationkey < 14 then concat('QX1', n_nationkey - 8, ' 2BB')"
+        " else concat('QX2', n_nationkey, ' 3CC') end as UNIT_POSTCODE",
         "n_nationkey % 10 + 1 as IMD_DECILE",
     )
 
@@ -810,10 +776,8 @@ def _postcodes(nation: DataFrame) -> DataFrame:
 def _code_list(part: DataFrame) -> DataFrame:
     """Risk factor lines: two for products of even size."""
     return (
-        part.filter("p_partkey % 3 = 1")
-        .selectExpr("p_partkey", "p_type", "p_brand", "explode(sequence(0, 1 - p_size % 2)) as k")
-        .selectExpr(
-            "concat('D', p_partkey) as ICD10",
+        part.selectExpr("p_partkey", "p_type", "p_brand", "explode(sequence(0, 1 - p_size % 2)) as k").selectExpr(
+            "concat(case when p_partkey % 3 = 1 then 'D' else '-' end, p_partkey) as ICD10",
             "case when k = 0 then p_type else p_brand end as Risk_Factor",
             "p_partkey * 2 + k as line_no",
         )
@@ -836,12 +800,8 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _catalog(spark: SparkSession, sf_dir: str, tables: dict, built: dict) -> Catalog:
-    def projection(source: str, where: str | None, columns: list[str]):
-        def load() -> DataFrame:
-            rows = raw(spark, sf_dir, source)
-            return (rows.filter(where) if where else rows).selectExpr(*columns)
-
-        return load
+    def projection(source: str, columns: list[str]):
+        return lambda: raw(spark, sf_dir, source).selectExpr(*columns)
 
     def builder(source: str, build):
         return lambda: build(raw(spark, sf_dir, source))

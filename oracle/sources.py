@@ -26,7 +26,8 @@ def hours(column, n):
 
 def periods(modulus):
     return f"""
-    SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey AS patient_id, o_orderkey AS admissions_id,
+    SELECT CASE WHEN o_orderkey % {modulus} = 0 THEN '' ELSE '-' END || o_orderkey AS id, o_custkey AS patient_id,
+      CASE WHEN o_orderkey % {modulus} = 0 THEN o_orderkey ELSE -1 - o_orderkey END AS admissions_id,
       CAST(o_orderdate AS DATE) AS started_on, {hours('o_orderdate', 'o_orderkey % 24')} AS started_at,
       CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE {days('o_orderdate', 'o_orderkey % 5 + 1')} END AS ended_at,
       CAST(o_orderkey % 2 AS INT) AS l2, CAST(o_orderkey % 3 AS INT) AS l3,
@@ -34,7 +35,7 @@ def periods(modulus):
       CAST(o_orderkey % 6 AS INT) AS br, CAST(o_orderkey % 7 AS INT) AS ar,
       CAST(o_orderkey % 8 AS INT) AS renal, CAST(o_orderkey % 9 AS INT) AS neuro,
       CAST(o_orderkey % 10 AS INT) AS derm, CAST(o_orderkey % 11 AS INT) AS liver
-    FROM orders WHERE o_orderkey % {modulus} = 0"""
+    FROM orders"""
 
 
 SOURCES = {
@@ -53,13 +54,15 @@ SOURCES = {
       CASE WHEN c_custkey % 13 = 0 THEN {days("TIMESTAMP '2000-01-01'", 'c_custkey % 300')} END AS dod,
       c_nationkey AS ethnic, {POSTCODE} AS postcode
     FROM customer""",
-    "w_ethnic": "SELECT n_nationkey AS code, n_name AS name FROM nation WHERE n_nationkey < 20",
+    "w_ethnic": "SELECT CASE WHEN n_nationkey < 20 THEN n_nationkey ELSE -1 - n_nationkey END AS code, n_name AS name FROM nation",
     "w_imd": """
     SELECT 'QX' || (n_nationkey + 1) || ' 1AA' AS pc, n_nationkey % 10 + 1 AS decile
     FROM nation WHERE n_nationkey < 9
     UNION ALL
     SELECT 'QX1' || (n_nationkey - 8) || ' 2BB', n_nationkey % 10 + 1
-    FROM nation WHERE n_nationkey BETWEEN 9 AND 13""",
+    FROM nation WHERE n_nationkey BETWEEN 9 AND 13
+    UNION ALL
+    SELECT 'QX2' || n_nationkey || ' 3CC', n_nationkey % 10 + 1 FROM nation WHERE n_nationkey > 13""",
     "w_admissions": f"""
     SELECT o_orderkey AS id, o_custkey AS patient_id,
       {hours('o_orderdate', 'o_orderkey % 24')} AS admitted,
@@ -71,19 +74,20 @@ SOURCES = {
         WHEN 3 THEN '4-NOT SPECIFIED' ELSE '5-LOW' END AS code,
       'M' || r_regionkey AS nc, r_name AS nc_name, CAST(r_regionkey = 4 AS INT) AS deleted FROM region""",
     "w_soa": """
-    SELECT CASE r_regionkey WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS code,
+    SELECT CASE r_regionkey WHEN 0 THEN 'F' WHEN 1 THEN 'O' WHEN 4 THEN '-' ELSE 'P' END AS code,
       'S' || r_regionkey AS nc, r_name AS nc_name, CAST(r_regionkey = 2 AS INT) AS deleted
-    FROM region WHERE r_regionkey < 4""",
+    FROM region""",
     "w_mod": """
-    SELECT CASE r_regionkey WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS code,
+    SELECT CASE r_regionkey WHEN 0 THEN 'F' WHEN 1 THEN 'O' WHEN 2 THEN 'P' ELSE '-' END AS code,
       'X' || r_regionkey AS nc, r_name AS nc_name, CAST(r_regionkey = 1 AS INT) AS deleted
-    FROM region WHERE r_regionkey < 3""",
+    FROM region""",
     "w_episodes": f"""
     SELECT {LINE} AS id, l_orderkey AS admissions_id, l_shipdate AS started,
       {days('l_shipdate', 'l_linenumber')} AS ended, l_suppkey % 10 AS specialty FROM lineitem""",
     "w_specialty": """
-    SELECT n_nationkey AS code, CAST(n_nationkey * 10 + 100 AS VARCHAR) AS dhss, n_name AS name,
-      CAST(n_nationkey = 8 AS INT) AS deleted FROM nation WHERE n_nationkey < 9""",
+    SELECT CASE WHEN n_nationkey < 9 THEN n_nationkey ELSE -1 - n_nationkey END AS code,
+      CAST(n_nationkey * 10 + 100 AS VARCHAR) AS dhss, n_name AS name,
+      CAST(n_nationkey = 8 AS INT) AS deleted FROM nation""",
     "w_ward": "SELECT n_nationkey AS code, n_name AS ward, CAST(n_nationkey % 6 = 0 AS INT) AS deleted FROM nation",
     "w_hospital": "SELECT n_nationkey % 5 AS code, CAST(n_nationkey >= 10 AS INT) AS deleted FROM nation",
     "w_diagnoses": f"""
@@ -93,15 +97,15 @@ SOURCES = {
     SELECT {LINE}, CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_shipdate END,
       l_linenumber, {DIAGNOSIS}, 'D' || l_partkey FROM lineitem WHERE l_linenumber = 1""",
     "w_mf_diagnosis": """
-    SELECT 'D' || p_partkey AS code, p_name AS descr, CAST(p_size % 10 = 0 AS INT) AS deleted
-    FROM part WHERE p_partkey % 7 <> 0""",
+    SELECT CASE WHEN p_partkey % 7 = 0 THEN '-' ELSE 'D' END || p_partkey AS code, p_name AS descr,
+      CAST(p_size % 10 = 0 AS INT) AS deleted FROM part""",
     "w_opcs": """
-    SELECT 'P' || p_partkey AS code, p_name AS descr, CAST(p_size % 10 = 0 AS INT) AS deleted
-    FROM part WHERE p_partkey % 7 <> 0""",
+    SELECT CASE WHEN p_partkey % 7 = 0 THEN '-' ELSE 'P' END || p_partkey AS code, p_name AS descr,
+      CAST(p_size % 10 = 0 AS INT) AS deleted FROM part""",
     "w_procedures": f"""
-    SELECT {LINE} AS ce_id, l_shipdate AS dated, l_linenumber AS num, 'P' || l_partkey AS code,
-      CASE WHEN l_linenumber <= 2 THEN CAST(l_orderkey AS VARCHAR) END AS nonunique_id
-    FROM lineitem WHERE l_returnflag <> 'N'""",
+    SELECT CASE WHEN l_returnflag = 'N' THEN -1 - {LINE} ELSE {LINE} END AS ce_id, l_shipdate AS dated,
+      l_linenumber AS num, 'P' || l_partkey AS code,
+      CASE WHEN l_linenumber <= 2 THEN CAST(l_orderkey AS VARCHAR) END AS nonunique_id FROM lineitem""",
     "w_transfers": f"""
     SELECT CASE WHEN l_linenumber = 1 THEN left(CAST(l_orderkey AS VARCHAR), 1) || ' : '
         || substring(CAST(l_orderkey AS VARCHAR), 2) ELSE 'T: ' || {LINE} END AS id,
@@ -116,8 +120,8 @@ SOURCES = {
     SELECT o_orderkey AS num, 'RPD' || o_custkey AS d_level, o_custkey % 25 AS c_level,
       'LAB' || (o_orderkey % 4) AS lab FROM orders""",
     "w_haem_results": f"""
-    SELECT 'H' || o_orderkey AS isrn, o_orderkey AS order_no, o_orderdate AS collected,
-      {hours('o_orderdate', 'o_orderkey % 24')} AS received FROM orders WHERE o_orderkey % 2 = 0""",
+    SELECT 'H' || o_orderkey AS isrn, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE -1 - o_orderkey END AS order_no,
+      o_orderdate AS collected, {hours('o_orderdate', 'o_orderkey % 24')} AS received FROM orders""",
     "w_haem_tests": """
     SELECT l_orderkey AS id, CAST(CAST(l_quantity AS INT) AS VARCHAR) AS result,
       CASE l_linenumber % 3 WHEN 0 THEN 'g/L' WHEN 1 THEN 'mmol' END AS units, l_shipdate AS resulted,
@@ -126,12 +130,14 @@ SOURCES = {
       'T' || l_suppkey AS code_key, 'H' || l_orderkey AS isrn, 'ORD' || (l_suppkey % 7) AS order_name,
       l_returnflag AS flag, CASE l_partkey % 3 WHEN 0 THEN 'N' WHEN 1 THEN 'Y' END AS suppressed,
       l_shipdate AS received FROM lineitem""",
-    "w_tests_haem": "SELECT 'T' || s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey % 6 <> 0",
-    "w_tests_micro": "SELECT 'T' || s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey % 5 <> 0",
+    "w_tests_haem": """
+    SELECT CASE WHEN s_suppkey % 6 = 0 THEN '-' ELSE 'T' END || s_suppkey AS id, s_name AS name FROM supplier""",
+    "w_tests_micro": """
+    SELECT CASE WHEN s_suppkey % 5 = 0 THEN '-' ELSE 'T' END || s_suppkey AS id, s_name AS name FROM supplier""",
     "w_micro_results": f"""
-    SELECT 'M' || o_orderkey AS isrn, o_orderkey AS order_no, o_orderdate AS collected,
-      {hours('o_orderdate', 'o_orderkey % 24')} AS received, 'SITE' || (o_orderkey % 6) AS site
-    FROM orders WHERE o_orderkey % 2 = 1""",
+    SELECT 'M' || o_orderkey AS isrn, CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey ELSE -1 - o_orderkey END AS order_no,
+      o_orderdate AS collected, {hours('o_orderdate', 'o_orderkey % 24')} AS received,
+      'SITE' || (o_orderkey % 6) AS site FROM orders""",
     "w_micro_tests": f"""
     SELECT {LINE} AS id, 'M' || l_orderkey AS isrn, 'MO' || (l_suppkey % 7) AS order_code,
       'MICRO ORDER ' || (l_suppkey % 7) AS order_name,
@@ -146,12 +152,14 @@ SOURCES = {
       'OC' || ((l_suppkey + k) % 6) AS code, (l_partkey + k) % 6 AS quantifier
     FROM lineitem JOIN (VALUES (1), (2)) copies(k) ON k <= l_partkey % 3""",
     "w_mf_organisms": """
-    SELECT 'OC' || n_nationkey AS code, CASE WHEN n_nationkey = 4 THEN 'X' ELSE 'O' END AS category
-    FROM nation WHERE n_nationkey < 5""",
+    SELECT CASE WHEN n_nationkey < 5 THEN 'OC' ELSE '-' END || n_nationkey AS code,
+      CASE WHEN n_nationkey = 4 THEN 'X' ELSE 'O' END AS category FROM nation""",
     "w_quantities": """
-    SELECT n_nationkey AS id, CASE WHEN n_nationkey = 3 THEN NULL ELSE '* ' || n_name || ' *' END AS descr,
-      CASE n_nationkey WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END AS significant FROM nation WHERE n_nationkey < 5""",
-    "w_request_source": "SELECT n_nationkey % 10 AS id FROM nation WHERE n_nationkey < 13",
+    SELECT CASE WHEN n_nationkey < 5 THEN n_nationkey ELSE -1 - n_nationkey END AS id,
+      CASE WHEN n_nationkey = 3 THEN NULL ELSE '* ' || n_name || ' *' END AS descr,
+      CASE n_nationkey WHEN 0 THEN 'Y' WHEN 1 THEN 'N' END AS significant FROM nation""",
+    "w_request_source": """
+    SELECT CASE WHEN n_nationkey < 13 THEN n_nationkey % 10 ELSE -1 - n_nationkey % 10 END AS id FROM nation""",
     "w_person": "SELECT c_custkey AS id, c_name AS external_id FROM customer",
     "w_medication": f"""
     SELECT o_orderkey AS id, o_custkey AS person_id,
@@ -172,25 +180,34 @@ SOURCES = {
       l_suppkey % 6 AS freq, l_suppkey % 5 AS roa FROM lineitem""",
     "w_product": "SELECT p_partkey AS id FROM part",
     "w_class_product": """
-    SELECT p_partkey AS product_id, p_partkey % 42 AS brand_id FROM part WHERE p_partkey % 17 <> 0
-    UNION ALL
-    SELECT p_partkey, (p_partkey + 7) % 42 FROM part WHERE p_partkey % 17 <> 0 AND p_size % 2 = 0""",
-    "w_brand": "SELECT p_partkey AS id, p_partkey % 22 AS ais_id FROM part WHERE p_partkey < 40",
-    "w_ais": "SELECT n_nationkey AS id, n_nationkey % 9 AS class_id FROM nation WHERE n_nationkey < 20",
+    SELECT CASE WHEN p_partkey % 17 = 0 THEN -1 - p_partkey ELSE p_partkey END AS product_id,
+      (p_partkey + k) % 42 AS brand_id
+    FROM part JOIN (VALUES (0), (7)) second(k) ON k = 0 OR p_size % 2 = 0""",
+    "w_brand": """
+    SELECT CASE WHEN p_partkey IN (40, 41) THEN -1 - p_partkey ELSE p_partkey END AS id, p_partkey % 22 AS ais_id
+    FROM part""",
+    "w_ais": """
+    SELECT CASE WHEN n_nationkey < 20 THEN n_nationkey ELSE -1 - n_nationkey END AS id, n_nationkey % 9 AS class_id
+    FROM nation""",
     "w_class": """
-    SELECT n_nationkey AS id, CASE WHEN n_nationkey = 5 THEN NULL ELSE n_name END AS name
-    FROM nation WHERE n_nationkey < 8""",
-    "w_route": "SELECT n_nationkey % 4 AS reference, n_name AS name FROM nation WHERE n_nationkey < 5",
-    "w_form": "SELECT n_nationkey AS code, n_name AS name FROM nation WHERE n_nationkey < 6",
+    SELECT CASE WHEN n_nationkey < 8 THEN n_nationkey ELSE -1 - n_nationkey END AS id,
+      CASE WHEN n_nationkey = 5 THEN NULL ELSE n_name END AS name FROM nation""",
+    "w_route": """
+    SELECT CASE WHEN n_nationkey < 5 THEN n_nationkey % 4 ELSE -1 - n_nationkey % 4 END AS reference, n_name AS name
+    FROM nation""",
+    "w_form": """
+    SELECT CASE WHEN n_nationkey < 6 THEN n_nationkey ELSE -1 - n_nationkey END AS code, n_name AS name FROM nation""",
     "w_freq": """
-    SELECT n_nationkey AS code, (n_nationkey + 1) || ' a day' AS narrative FROM nation WHERE n_nationkey < 5""",
+    SELECT CASE WHEN n_nationkey < 5 THEN n_nationkey ELSE -1 - n_nationkey END AS code,
+      (n_nationkey + 1) || ' a day' AS narrative FROM nation""",
     "w_exams": f"SELECT l_orderkey AS event_key, {LINE} AS exam_key, 'EX' || l_suppkey AS examination FROM lineitem",
     "w_events": f"""
     SELECT o_orderkey AS event_key, {hours('o_orderdate', 'o_orderkey % 24')} AS requested FROM orders""",
-    "w_examcd": "SELECT 'EX' || s_suppkey AS code, s_name AS name FROM supplier WHERE s_suppkey % 8 <> 0",
+    "w_examcd": """
+    SELECT CASE WHEN s_suppkey % 8 = 0 THEN '-' ELSE 'EX' END || s_suppkey AS code, s_name AS name FROM supplier""",
     "w_cris_orders": f"""
-    SELECT 'RO' || {LINE} AS order_id, {LINE} AS exam_key, l_partkey AS paslink,
-      {days('l_shipdate', '2')} AS scheduled FROM lineitem WHERE l_linenumber <= 4""",
+    SELECT 'RO' || {LINE} AS order_id, CASE WHEN l_linenumber <= 4 THEN {LINE} ELSE -1 - {LINE} END AS exam_key,
+      l_partkey AS paslink, {days('l_shipdate', '2')} AS scheduled FROM lineitem""",
     "w_his": "SELECT c_custkey AS paslink, c_name AS his_id FROM customer",
     "w_ed": f"""
     SELECT {USER} AS k, event_id AS visitid, CAST(ts AS DATE) AS arrived_on,
@@ -207,13 +224,12 @@ SOURCES = {
       CASE WHEN event_id % 3 = 0 THEN event_type END AS pain FROM events""",
     "w_participant": """
     SELECT 'HCVPt' || substring(sha256('salt' || c_name), 1, 16) AS pid,
-      CASE WHEN c_custkey % 4 = 1 THEN upper(c_name) ELSE c_name END AS k
-    FROM customer WHERE c_custkey % 15 <> 14""",
+      CASE WHEN c_custkey % 15 = 14 THEN '-' || c_name WHEN c_custkey % 4 = 1 THEN upper(c_name) ELSE c_name END AS k
+    FROM customer""",
     "w_code_list": """
-    SELECT 'D' || p_partkey AS icd10, p_type AS factor, p_partkey * 2 AS line_no
-    FROM part WHERE p_partkey % 3 = 1
-    UNION ALL
-    SELECT 'D' || p_partkey, p_brand, p_partkey * 2 + 1 FROM part WHERE p_partkey % 3 = 1 AND p_size % 2 = 0""",
+    SELECT CASE WHEN p_partkey % 3 = 1 THEN 'D' ELSE '-' END || p_partkey AS icd10,
+      CASE WHEN k = 0 THEN p_type ELSE p_brand END AS factor, p_partkey * 2 + k AS line_no
+    FROM part JOIN (VALUES (0), (1)) second(k) ON k = 0 OR p_size % 2 = 0""",
     # --- legacy tables --------------------------------------------------------------------------
     "g_demographics": f"""
     SELECT c_custkey AS id, 'PI' || c_custkey AS participant_identifier, 'NHS' || c_custkey AS nhs_number,
@@ -249,7 +265,7 @@ SOURCES = {
     SELECT CAST(l_orderkey AS VARCHAR) AS spell_id, CAST({LINE} AS VARCHAR) AS episode_id, {PART} AS k,
       CASE WHEN l_linenumber = 4 THEN NULL ELSE l_linenumber END AS num, 'P' || l_partkey AS code,
       CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE 'NAME ' || l_partkey END AS name
-    FROM lineitem WHERE l_returnflag <> 'N'""",
+    FROM lineitem""",
     "g_transfer": f"""
     SELECT CAST(l_orderkey AS VARCHAR) AS spell_id, {PART} AS k, l_shipdate AS at,
       CASE l_linenumber % 3 WHEN 0 THEN 'ADMISSION' WHEN 1 THEN 'TRANSFER' ELSE 'DISCHARGE' END AS kind,
@@ -263,7 +279,7 @@ SOURCES = {
     SELECT {USER} AS k, ts, event_type AS name, CAST(CAST(trunc(value * 100) AS INT) AS VARCHAR) AS val,
       CASE WHEN event_id % 2 = 0 THEN 'bpm' END AS units,
       CASE WHEN event_id % 5 < 3 THEN CAST(CAST(trunc(value) AS INT) AS VARCHAR) END AS ews FROM events""",
-    "g_ccp": f"SELECT o_orderkey AS ok, {OWNER} AS k, o_orderdate FROM orders WHERE o_orderkey % 6 = 0",
+    "g_ccp": f"SELECT o_orderkey AS ok, {OWNER} AS k, o_orderdate FROM orders",
     "g_order": f"""
     SELECT {OWNER} AS k, o_orderdate AS requested, 'EX' || (o_custkey % 40) AS code, o_orderpriority AS descr,
       CASE o_orderkey % 3 WHEN 0 THEN 'CT' WHEN 1 THEN 'XR' END AS modality FROM orders""",
