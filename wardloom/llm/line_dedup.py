@@ -85,11 +85,12 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
     def banded(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(read, 1 << 20):
             hashes, first = shingles(batch.column("line"))
-            made = band_hashes(signatures(hashes, first, BANDS * ROWS), BANDS, ROWS)
+            signed = signatures(hashes, first, BANDS * ROWS)
+            made, sketch = band_hashes(signed, BANDS, ROWS), [c.tobytes() for c in signed.astype(np.uint8)]
             lists = pa.ListArray.from_arrays(np.arange(0, made.size + 1, BANDS, dtype=np.int32), made.ravel())
-            yield pa.record_batch([batch.column("id"), batch.column("handle"), pa.array(np.diff(first)), lists], names=["id", "handle", "n", "bands"])
+            yield pa.record_batch([batch.column("id"), batch.column("handle"), pa.array(np.diff(first)), lists, pa.array(sketch, pa.binary())], names=["id", "handle", "n", "bands", "sketch"])
 
-    classes = distinct.select("id", "handle", "line").mapInArrow(banded, "id binary, handle long, n long, bands array<long>")
+    classes = distinct.select("id", "handle", "line").mapInArrow(banded, "id binary, handle long, n long, bands array<long>, sketch binary")
 
     def fetch(handles: DataFrame) -> DataFrame:
         return distinct.join(handles, "handle", "left_semi").select("handle", "id", "line")

@@ -1,9 +1,10 @@
 """Links and components of similar sets, from the bands of their MinHash signatures.
 
-Sets that agree in a band are candidates. In each bucket every set is held first against one leader only, so that a
-bucket of any size gives no more pairs than it has sets; pairs that these links already connect need no comparing.
-Only sets of a bucket that are still in different components are held against each other, where their sizes allow the
-similarity. So each link that could change the components is found, and all are confirmed on the whole sets.
+Sets that agree in a band are candidates. In each bucket every set is first held against one leader, so that a bucket of
+any size gives no more pairs than it has sets; sets that are linked with the same leader need no comparing. Buckets that
+hold others, too, then are cut into blocks of bounded size, and cells of one or two blocks compare what
+is apart in memory: first the sketches of the signatures, then the whole sets. A cell writes only links that connect
+something, not pairs. So each link that could change the components is found, and all are confirmed on whole sets.
 """
 
 from __future__ import annotations
@@ -18,9 +19,17 @@ from pyspark.sql import functions as F
 from wardloom.llm.common import batches, settle
 from wardloom.llm.components import components
 
+#: Sets of a block.
+BLOCK = 512
+
 Sets = Callable[[pa.Array], list[np.ndarray]]
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, data: str, unpack: Sets, percent: int) -> DataFrame:
     """id_a, id_b of the pairs of handles whose sets have 100 * intersection >= percent * union."""
     left = sets.select(F.col("handle").alias("a"), F.col("id").alias("id_a"), F.col(data).alias("set_a"))
@@ -28,42 +37,97 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, data: str, unpack: Sets, perce
 
     def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(read):
-            linked = []
-            for x, y in zip(unpack(batch.column("set_a")), unpack(batch.column("set_b")), strict=True):
-                common = len(np.intersect1d(x, y, True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.record_batch([batch.column("id_a"), batch.column("id_b"), pa.array(linked, pa.bool_())], names=["id_a", "id_b", "linked"])
+            both = zip(unpack(batch.column("set_a")), unpack(batch.column("set_b")), strict=True)
+            keep = pa.array([_linked(x, y, percent) for x, y in both], pa.bool_())
+            yield pa.record_batch([batch.column("id_a"), batch.column("id_b")], names=["id_a", "id_b"]).filter(keep)
 
     joined = pairs.join(left, "a").join(right, "b").select("id_a", "id_b", "set_a", "set_b")
-    return joined.mapInArrow(run, "id_a binary, id_b binary, linked boolean").filter("linked").select("id_a", "id_b")
+    return joined.mapInArrow(run, "id_a binary, id_b binary")
 
 
 def similar(classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], data: str, unpack: Sets, percent: int = 80) -> DataFrame:
     """id, root of the classes that are linked to others, directly or through others.
 
-    ``classes``: id (binary, distinct), handle (long, a hash of it), n (size of the set) and bands (array of long).
-    ``fetch`` gives handle, id and ``data`` for a table of handles; ``unpack`` turns a column of ``data`` into sorted
-    arrays of distinct values.
+    ``classes``: id (binary, distinct), handle (long, a hash of it), n (size of the set), bands (array of long) and sketch
+    (binary, the last byte of each coordinate of the signature; all are of one length). ``fetch`` gives handle, id and
+    ``data`` for a table of handles; ``unpack`` turns a column of ``data`` into sorted arrays of distinct values.
     """
-    banded = classes.select("handle", "n", F.posexplode("bands").alias("band", "hash"))
-    banded = banded.select("handle", "n", F.xxhash64("band", "hash").alias("bucket"))
+    banded = classes.select("handle", F.posexplode("bands").alias("band", "hash"))
+    banded = banded.select("handle", "band", F.xxhash64("band", "hash").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("handle").alias("leader"), F.max("handle").alias("last"))
-    crowded = settle(banded.join(buckets.filter("leader < last"), "bucket").select("bucket", "handle", "n", "leader"))
+    crowded = settle(banded.join(buckets.filter("leader < last"), "bucket").select("bucket", "band", "handle", "leader"))
     stars = crowded.filter("handle <> leader").select(F.col("handle").alias("a"), F.col("leader").alias("b")).distinct()
     sets = settle(fetch(crowded.select("handle").distinct()))
     links = settle(_confirmed(stars, sets, data, unpack, percent))
-    first = components(links)
-
-    roots = sets.select("handle", "id").join(first, "id", "left").select("handle", F.coalesce("root", "id").alias("root"))
-    members = crowded.join(roots, "handle")
-    mixed = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    apart = settle(members.join(mixed.select("bucket"), "bucket", "left_semi").select("bucket", "handle", "n", "leader", "root"))
-    one, other = apart.alias("one"), apart.alias("other")
-    fits = (F.col("one.handle") < F.col("other.handle")) & (F.col("one.root") != F.col("other.root"))
-    # pairs with the leader are settled already
-    fits &= (F.col("one.handle") != F.col("one.leader")) & (F.col("other.handle") != F.col("other.leader"))
-    fits &= (100 * F.col("one.n") >= percent * F.col("other.n")) & (100 * F.col("other.n") >= percent * F.col("one.n"))
-    rest = one.join(other, (F.col("one.bucket") == F.col("other.bucket")) & fits)
-    rest = rest.select(F.col("one.handle").alias("a"), F.col("other.handle").alias("b")).distinct()
-    more = settle(_confirmed(rest, sets, data, unpack, percent))
-    return components(links.unionByName(more))
+
+    # sets that are linked with one leader need no comparing with each other
+    leaders = links.groupBy(F.col("id_a").alias("id")).agg(F.min("id_b").alias("root"))
+    named = sets.select("handle", "id").join(leaders, "id", "left").select("handle", F.coalesce("root", "id").alias("root"))
+    members = crowded.select("bucket", "band", "handle").join(named, "handle")
+    mixed = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("crowd"))
+    blocks = mixed.filter("low < high").select("bucket", F.ceil(F.col("crowd") / BLOCK).cast("int").alias("blocks"))
+    side = F.pmod(F.xxhash64("handle", "bucket"), F.col("blocks")).cast("int").alias("side")
+    apart = members.join(blocks, "bucket").select("bucket", "band", "handle", "root", "blocks", side)
+    found = settle(_apart(apart, classes, sets, data, unpack, percent))
+    return components(links.unionByName(found))
+
+
+def _apart(apart: DataFrame, classes: DataFrame, sets: DataFrame, data: str, unpack: Sets, percent: int) -> DataFrame:
+    """id_a, id_b: links between sets of a bucket with different roots, enough of them to connect what is linked."""
+    # a block meets every block of its bucket, itself included, in one cell each
+    met = apart.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met"))
+    cell = F.xxhash64("bucket", F.least("side", "met"), F.greatest("side", "met")).alias("cell")
+    cells = met.select("handle", "band", "root", "side", cell)
+    filled = cells.join(classes.select("handle", "n", "bands", "sketch"), "handle").join(sets, "handle")
+    dealt = filled.repartition("cell").sortWithinPartitions("cell")
+
+    def compare(rows: pa.Table) -> tuple[list[bytes], list[bytes]]:
+        ids = rows.column("id").to_pylist()
+        _, label = np.unique(np.array(rows.column("root").to_pylist(), object), return_inverse=True)
+        n, side = (rows.column(c).to_numpy() for c in ("n", "side"))
+        band, single = rows.column("band")[0].as_py(), (side == side[0]).all()
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
+        bands = np.array(rows.column("bands").to_pylist(), np.int64)
+        p, size = percent / 100, max(1, sketch.shape[1])
+        least = size * (p - 4 * np.sqrt(p * (1 - p) / size))  # a pair at the similarity falls short once in 30,000 times
+        values: list[np.ndarray] | None = None
+        a, b = [], []
+        for k in range(len(ids) - 1):
+            rest = slice(k + 1, None)
+            likely = (label[rest] != label[k]) & (100 * n[rest] >= percent * n[k]) & (100 * n[k] >= percent * n[rest])
+            if not single:
+                likely &= side[rest] != side[k]
+            at = k + 1 + np.flatnonzero(likely)
+            if not len(at):
+                continue
+            same = (sketch[at] == sketch[k]).sum(1)
+            at = at[np.argsort(-same, kind="stable")][: (same >= least).sum()]
+            # the first band that two sets share is where they are compared
+            at = at[(bands[at] == bands[k]).argmax(1) == band]
+            for other in at:
+                if label[other] == label[k]:
+                    continue
+                values = values or unpack(rows.column(data).combine_chunks())
+                if _linked(values[k], values[other], percent):
+                    label[label == label[other]] = label[k]
+                    a.append(ids[k])
+                    b.append(ids[other])
+        return a, b
+
+    def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def said(rows: pa.Table) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(v, pa.binary()) for v in compare(rows)], names=["id_a", "id_b"])
+
+        held: pa.Table | None = None
+        for batch in batches(read):
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held else rows
+            cell = rows.column("cell").to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            for x, y in zip(starts, starts[1:], strict=False):
+                yield said(rows.slice(x, y - x))
+            held = rows.slice(starts[-1])
+        if held:
+            yield said(held)
+
+    return dealt.mapInArrow(run, "id_a binary, id_b binary")

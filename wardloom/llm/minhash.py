@@ -20,6 +20,8 @@ from wardloom.llm.lsh import similar
 
 #: Bands and rows: at a similarity of 0.8, one pair in 580 shares no band; at 0.85, one in 12,000.
 BANDS, ROWS = 16, 5
+#: Coordinates; those beyond the bands only sharpen the comparison of sketches.
+COORDINATES = 256
 
 
 def scatter(hashes: np.ndarray) -> np.ndarray:
@@ -68,7 +70,7 @@ def _name(values: np.ndarray) -> bytes:
 
 
 def shingled(docs: DataFrame, key: str, text: str, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """key, n (shingles), id (of the set) and bands of each row; rows without words have no id and no bands."""
+    """key, n (shingles), id (of the set), bands and sketch of each row; rows without words have no id, bands and sketch."""
 
     def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(read, 1 << 20):
@@ -77,20 +79,21 @@ def shingled(docs: DataFrame, key: str, text: str, width: int, bands: int = BAND
             sizes = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(sizes)
             made: list = [None] * len(sets)
+            sketch: list = [None] * len(sets)
             if len(full):
                 ends = np.concatenate([[0], np.cumsum(sizes[full])])
-                hashed = band_hashes(signatures(np.concatenate([sets[k] for k in full]), ends, bands * rows), bands, rows)
-                for k, h in zip(full, hashed, strict=True):
-                    made[k] = h
+                signed = signatures(np.concatenate([sets[k] for k in full]), ends, COORDINATES)
+                for k, h, c in zip(full, band_hashes(signed, bands, rows), signed.astype(np.uint8), strict=True):
+                    made[k], sketch[k] = h, c.tobytes()
             names = [_name(s) if len(s) else None for s in sets]
             yield pa.record_batch(
-                [batch.column("key"), pa.array(sizes), pa.array(names, pa.binary()), pa.array(made, pa.list_(pa.int64()))],
-                names=["key", "n", "id", "bands"],
+                [batch.column("key"), pa.array(sizes), pa.array(names, pa.binary()), pa.array(made, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                names=["key", "n", "id", "bands", "sketch"],
             )
 
     rows_ = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows_.schema["key"].dataType.simpleString()
-    return rows_.mapInArrow(run, f"key {kind}, n long, id binary, bands array<long>")
+    return rows_.mapInArrow(run, f"key {kind}, n long, id binary, bands array<long>, sketch binary")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -102,7 +105,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     set, and a row of a null key only a null one if no linked row has a key. Other columns are not read.
     """
     rows = settle(shingled(docs, key, text, width))
-    classes = rows.filter("n > 0").groupBy("id").agg(F.min("key").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = rows.filter("n > 0").groupBy("id").agg(F.min("key").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = settle(classes.withColumn("handle", F.xxhash64("id")))
 
     def named(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
