@@ -236,17 +236,15 @@ def lexicon(texts: pa.Array, toxic: np.ndarray) -> Voters:
                 kept.append(start + k)
             known |= least
     texts, toxic = texts.take(pa.array(kept, pa.int64())), toxic[kept]
-    pairs: list[list] = [[] for _ in range(1 + len(STEMS))]
-    for start, part in _in_parts(texts):
-        words, first = words_of(part)
-        for k, values in enumerate(words):
-            found, owner = _pairs(values, first)
-            pairs[k].append((found, owner + start))
     entries = []
-    for k, parts in enumerate(pairs):
-        values = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
-        owner = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-        found = found_entries(values, owner, toxic)
+    for k in range(1 + len(STEMS)):  # one kind at a time, for the sake of memory
+        values, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+        for start, part in _in_parts(texts):
+            words, first = words_of(part)
+            found, owner = _pairs(words[k], first)
+            values.append(found)
+            owners.append((owner + start).astype(np.int32))
+        found = found_entries(np.concatenate(values), np.concatenate(owners), toxic)
         entries.append(np.union1d(found, _hash(LEXICON)) if k == 0 else found)
     return Voters(entries)
 
