@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import re
 from collections.abc import Iterable, Iterator
 
@@ -49,7 +50,9 @@ class TreeEncoder:
         self.loose = re.compile(r" \s|\s |^ | $").search
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
-        """The merges themselves, lowest rank first: for the few bytes of a window."""
+        """The merges themselves, lowest rank first, of the bytes of a window."""
+        if len(piece) > 64:
+            return self._merged_long(piece)
         parts = [piece[i : i + 1] for i in range(len(piece))]
         ranks = self.ranks
         while len(parts) > 1:
@@ -61,6 +64,28 @@ class TreeEncoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return tuple(ranks[p] for p in parts)
 
+    def _merged_long(self, piece: bytes) -> tuple[int, ...]:
+        """The same with a queue, for windows that keep growing, as in long runs of one letter."""
+        size, ranks = len(piece), self.ranks
+        end, before, there = list(range(1, size + 1)), list(range(-1, size)), [True] * size
+        queue = [(ranks[piece[i : i + 2]], i, i + 2) for i in range(size - 1) if piece[i : i + 2] in ranks]
+        heapq.heapify(queue)
+        while queue:
+            _, i, stop = heapq.heappop(queue)
+            if not there[i] or (j := end[i]) >= size or end[j] != stop:
+                continue
+            there[j], end[i], before[stop] = False, stop, i
+            h = before[i]
+            if h >= 0 and (rank := ranks.get(piece[h:stop])) is not None:
+                heapq.heappush(queue, (rank, h, stop))
+            if stop < size and (rank := ranks.get(piece[i : end[stop]])) is not None:
+                heapq.heappush(queue, (rank, i, end[stop]))
+        out, i = [], 0
+        while i < size:
+            out.append(ranks[piece[i : end[i]]])
+            i = end[i]
+        return tuple(out)
+
     def pair(self, left: int, right: int) -> tuple[int, ...]:
         key = (left, right)
         found = self.pairs.get(key)
