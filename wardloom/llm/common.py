@@ -153,6 +153,27 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[n
     return out, first
 
 
+def likely(members: DataFrame, column: str, bits: int = 1 << 23) -> Column:
+    """Whether a long is perhaps among ``members``: true for all of them, and for others the rarer the fewer there are.
+
+    A map of at most ``bits`` bits, made by Spark, goes to the driver and into the plan. It spares a join the shuffle of
+    most rows that it would drop; the join stays.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    words = members.select(F.shiftright(place, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    found = words.toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+
+    @F.arrow_udf("boolean")
+    def held(places: pa.Array) -> pa.Array:
+        at = places.to_numpy()
+        return pa.array((table[at >> 6] >> (at & 63)) & 1 == 1, pa.bool_())
+
+    return held(place)
+
+
 def text_scores(score: Callable[[pa.Array], np.ndarray], max_bytes: int = 2 << 20) -> Callable[[Column], Column]:
     """``score`` as a column function of whole texts; null texts count as empty."""
 

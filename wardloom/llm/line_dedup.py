@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.llm.common import batches, mix64, settle
+from wardloom.llm.common import batches, likely, mix64, settle
 from wardloom.llm.lsh import similar
 from wardloom.llm.minhash import band_hashes
 
@@ -93,7 +93,8 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
     classes = distinct.select("id", "handle", "line").mapInArrow(banded, "id binary, handle long, n long, bands array<long>, sketch binary")
 
     def fetch(handles: DataFrame) -> DataFrame:
-        return distinct.join(handles, "handle", "left_semi").select("handle", "id", "line")
+        found = distinct.select("handle", "id", "line").filter(likely(handles, "handle"))
+        return found.join(handles, "handle", "left_semi")
 
     roots = similar(classes, fetch, "line", _sets, percent)
     # lines that occur once and resemble no other need no more looking at

@@ -54,8 +54,11 @@ def similar(classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], data: s
     """
     banded = classes.select("handle", F.posexplode("bands").alias("band", "hash"))
     banded = banded.select("handle", "band", F.xxhash64("band", "hash").alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.min("handle").alias("leader"), F.max("handle").alias("last"))
-    crowded = settle(banded.join(buckets.filter("leader < last"), "bucket").select("bucket", "band", "handle", "leader"))
+    # both uses read the same columns of one shuffle
+    banded = banded.repartition("bucket")
+    ends = (F.min("handle").alias("leader"), F.max("handle").alias("last"), F.max("band").alias("top"))
+    buckets = banded.groupBy("bucket").agg(*ends).filter("leader < last AND top >= 0")
+    crowded = settle(banded.join(buckets, "bucket").select("bucket", "band", "handle", "leader"))
     stars = crowded.filter("handle <> leader").select(F.col("handle").alias("a"), F.col("leader").alias("b")).distinct()
     sets = settle(fetch(crowded.select("handle").distinct()))
     links = settle(_confirmed(stars, sets, data, unpack, percent))
