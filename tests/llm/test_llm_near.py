@@ -157,6 +157,13 @@ def test_repeated_rows_keep_their_lines(spark):
     assert got == [(0, ""), (1, line), (1, line), (2, "")]
 
 
+def test_short_lines_are_compared(spark):
+    texts = ["All rights reserved.\n\n}\n \t\n}", "}\nAll rights reserved.\n\n \t\n短い行です。", "短い行です。\n\u3000\nAll rights reserved!\n{"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated(docs).collect()}
+    assert got == {0: "All rights reserved.\n\n}\n \t", 1: "\n \t\n短い行です。", 2: "\u3000\n{"}
+
+
 def test_near_copies_of_the_pipeline(spark):
     text = " ".join(f"t{k}" for k in range(60))
     data = [(3, text), (2, text + " end"), (2, text + " end"), (9, None), (9, None), (8, ""), (None, text), (None, "other words")]

@@ -20,8 +20,10 @@ from wardloom.llm.minhash import band_hashes
 
 #: Characters of a shingle; bands and rows: at a similarity of 0.8, one pair in 550 shares no band; at 0.9, one in 10**5.
 WIDTH, BANDS, ROWS = 7, 12, 4
-#: Shorter lines, such as headings and list entries, recur rightly and are left alone.
-LEAST = 32
+#: Shorter lines are left alone: none but blank ones. Those under WIDTH have one shingle, so only equal ones are linked.
+LEAST = 1
+#: What a line holds that is not blank: anything but white space, as Unicode has it.
+INK = r"(?U)\S"
 
 
 def shingles(lines: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +76,7 @@ def _name(line: Column) -> Column:
 
 
 def _compared(least: int) -> Column:
-    return F.length(F.trim("line")) >= least
+    return (F.length(F.trim("line")) >= least) & F.col("line").rlike(INK)
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
@@ -115,7 +117,7 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
     """All columns of ``docs`` with the lines that stay in ``text``, plus ``_lines_removed`` (their number).
 
-    Lines end at line feeds. Lines of fewer than ``least`` characters, blank ends aside, always stay. Of each component
+    Lines end at line feeds. Lines of white space, and those of fewer than ``least`` characters, blank ends aside, always stay. Of each component
     of lines whose shingle sets have 100 * intersection >= ``percent`` * union the first line stays, by key (null last)
     and position. A row that is repeated with its key keeps its lines as the other does. Null texts stay null, empty
     ones empty.
