@@ -25,10 +25,10 @@ def of_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents with the lines that stay; those whose every line is held elsewhere go, empty ones stay as they are."""
+    """The documents with the lines that stay; those of which only blank lines stay go, empty ones stay as they are."""
     reachable(spark)
     left = line_dedup.deduplicated(docs)
-    emptied = (F.col("_lines_removed") > 0) & (F.trim("text") == "")
+    emptied = (F.col("_lines_removed") > 0) & ~F.col("text").rlike(line_dedup.INK)
     kept = left.filter(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
         size = F.when(F.col("_lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))

@@ -181,6 +181,14 @@ def test_emptied_documents_go_and_counts_follow(spark):
     assert got == {1: (line, len(line)), 3: (other, len(other)), 4: ("", 0), 5: (None, 0)}
 
 
+def test_copies_leave_no_remnants(spark):
+    text = "Notes\n\na line that is long enough to be compared\n \t\n- item\n\nEnd"
+    data = [(1, text), (2, text), (3, "End\r\n\n\nNotes\nonly here"), (4, "\n\n"), (5, "\n\u3000\nNotes\n\n")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in data], "doc_id long, text string, lang string, source string, n_chars int")
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, docs, "").collect()}
+    assert got == {1: text, 3: "End\r\n\n\nonly here", 4: "\n\n"}
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
