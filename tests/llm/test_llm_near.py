@@ -157,6 +157,16 @@ def test_repeated_rows_keep_their_lines(spark):
     assert got == [(0, ""), (1, line), (1, line), (2, "")]
 
 
+def test_rows_that_share_a_key_are_rows_of_their_own(spark):
+    line, others = "a line that is long enough to be compared with others", ["first other text", "second, quite unlike it"]
+    data = [(k, f"{line}\n{x}{k}") for k in (None, 4) for x in others] + [(None, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = [r.text for r in line_dedup.deduplicated(docs).collect() if r.text]
+    assert sum(t.split("\n").count(line) for t in got) == 1
+    report = line_dedup.line_report(docs).collect()
+    assert len(report) == 8 and sum(r.kept for r in report) == sum(len(t.split("\n")) for t in got)
+
+
 def test_short_lines_are_compared(spark):
     texts = ["All rights reserved.\n\n}\n \t\n}", "}\nAll rights reserved.\n\n \t\n短い行です。", "短い行です。\n\u3000\nAll rights reserved!\n{"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

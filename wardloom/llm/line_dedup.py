@@ -67,8 +67,9 @@ def signatures(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, at (from 0) and line of every line of every row."""
-    return docs.select(F.col(key).alias("key"), F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
+    """key, version (a hash of the text), at (from 0) and line of every line of every row."""
+    version = F.xxhash64(text).alias("version")
+    return docs.select(F.col(key).alias("key"), version, F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
 
 
 def _name(line: Column) -> Column:
@@ -80,7 +81,7 @@ def _compared(least: int) -> Column:
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
-    """key, at, id, kept_key and kept_at of every line that goes, with the line that stays in its place."""
+    """key, version, at, kept_key and kept_at of every line that goes, with the line that stays in its place."""
     lines = _lines(docs, key, text).filter(_compared(least))
     distinct = settle(lines.groupBy("line").agg(F.count("*").alias("times")).withColumns({"id": _name(F.col("line")), "handle": F.xxhash64("line")}))
 
@@ -102,11 +103,13 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
     # lines that occur once and resemble no other need no more looking at
     joined = distinct.select("id", "times").join(roots, "id", "left")
     doubtful = settle(joined.filter("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root")))
-    places = lines.select("key", "at", _name(F.col("line")).alias("id"), F.xxhash64("line").alias("handle"))
+    places = lines.select("key", "version", "at", _name(F.col("line")).alias("id"))
     placed = settle(places.join(doubtful, "id"))
-    kept = placed.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "at")).alias("kept"))
-    stays = F.col("key").eqNullSafe(F.col("kept.key")) & (F.col("at") == F.col("kept.at"))
-    return placed.join(kept, "root").filter(~stays).select("key", "at", "handle", F.col("kept.key").alias("kept_key"), F.col("kept.at").alias("kept_at"))
+    kept = placed.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "version", "at")).alias("kept"))
+    # keys may be null or repeat with other texts: a row goes by its key and a hash of its text
+    same = F.col("key").eqNullSafe(F.col("kept.key")) & (F.col("version") == F.col("kept.version"))
+    stays = same & (F.col("at") == F.col("kept.at"))
+    return placed.join(kept, "root").filter(~stays).select("key", "version", "at", F.col("kept.key").alias("kept_key"), F.col("kept.at").alias("kept_at"))
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -119,28 +122,30 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
 
     Lines end at line feeds. Lines of white space, and those of fewer than ``least`` characters, blank ends aside, always stay. Of each component
     of lines whose shingle sets have 100 * intersection >= ``percent`` * union the first line stays, by key (null last)
-    and position. A row that is repeated with its key keeps its lines as the other does. Null texts stay null, empty
-    ones empty.
+    and position. Rows that repeat in key and text keep their lines as one row does; rows that share a key, or have none,
+    with other texts are rows of their own, in the order of a hash of their texts. Null texts stay null, empty ones empty.
     """
-    gone = removals(docs, key, text, percent, least).groupBy("key").agg(F.collect_set(F.struct("at", "handle")).alias("_gone"))
-    joined = docs.join(gone.withColumnRenamed("key", "_key"), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    gone = removals(docs, key, text, percent, least).groupBy("key", "version").agg(F.collect_set("at").alias("_gone"))
+    gone = gone.select(F.col("key").alias("_key"), F.col("version").alias("_version"), "_gone")
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_version"))
+    joined = docs.join(gone, same, "left").drop("_key", "_version")
     lines = F.split(F.col(text), "\n")
-    here = F.transform(lines, lambda line, at: F.struct(at.alias("at"), F.xxhash64(line).alias("handle")))
-    lost = F.filter(here, lambda place: F.array_contains(F.col("_gone"), place))
-    left = F.filter(F.arrays_zip(lines.alias("line"), here.alias("place")), lambda x: ~F.array_contains(F.col("_gone"), x["place"]))
-    rebuilt = F.array_join(F.transform(left, lambda x: x["line"]), "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    # the array of one array splits the text once, not once a line
+    picked = F.transform(F.array(lines), lambda own: F.transform(left, lambda at: F.get(own, at)))
+    rebuilt = F.array_join(picked[0], "\n")
     some = F.col("_gone").isNotNull() & F.col(text).isNotNull()
     columns = [F.when(some, rebuilt).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in docs.columns]
-    return joined.select(*columns, F.when(some, F.size(lost)).otherwise(0).alias("_lines_removed"))
+    return joined.select(*columns, F.when(some, F.size("_gone")).otherwise(0).alias("_lines_removed"))
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
     """key, line_no, kept, kept_key and kept_line of every line: the line itself, or the one that stays for it."""
-    lines = _lines(docs, key, text).select("key", "at", F.xxhash64("line").alias("handle"))
-    gone = removals(docs, key, text, percent, least).dropDuplicates(["key", "at", "handle"])
-    gone = gone.select(F.col("key").alias("k"), F.col("at").alias("p"), F.col("handle").alias("h"), "kept_key", "kept_at")
-    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("at") == F.col("p")) & (F.col("handle") == F.col("h"))
-    lost = F.col("h").isNotNull()
+    lines = _lines(docs, key, text).select("key", "version", "at")
+    gone = removals(docs, key, text, percent, least).dropDuplicates(["key", "version", "at"])
+    gone = gone.select(F.col("key").alias("k"), F.col("version").alias("v"), F.col("at").alias("p"), "kept_key", "kept_at")
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v")) & (F.col("at") == F.col("p"))
+    lost = F.col("p").isNotNull()
     return lines.join(gone, same, "left").select(
         F.col("key").alias(key),
         F.col("at").alias("line_no"),
