@@ -153,12 +153,13 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[n
     return out, first
 
 
-def likely(members: DataFrame, column: str, bits: int = 1 << 23) -> Column:
-    """Whether a long is perhaps among ``members``: true for all of them, and for others the rarer the fewer there are.
+def likely(members: DataFrame, column: str, most: int = 1 << 27) -> Column:
+    """Whether a long is perhaps among ``members``: true for all of them, and for one in 16 others as long as ``most`` allows.
 
-    A map of at most ``bits`` bits, made by Spark, goes to the driver and into the plan. It spares a join the shuffle of
-    most rows that it would drop; the join stays.
+    A map of 16 bits a member, of at most ``most`` bits, made by Spark, goes to the driver and into the plan. It spares a
+    join the shuffle of most rows that it would drop; the join stays.
     """
+    bits = min(most, 1 << max(16, (16 * members.count()).bit_length()))
     place = F.pmod(F.xxhash64(column), F.lit(bits))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
     words = members.select(F.shiftright(place, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
@@ -174,6 +175,22 @@ def likely(members: DataFrame, column: str, bits: int = 1 << 23) -> Column:
     return held(place)
 
 
+#: Keys that may hold more than one in so many of all rows: no more than so many keys can.
+HEAVY = 1000
+
+
+def join_by_weight(rows: DataFrame, groups: DataFrame, on: Column, weight: str, total: int, most: int = HEAVY) -> DataFrame:
+    """``rows`` left-joined with ``groups``, whose ``weight`` says how many of the ``total`` rows each of them meets.
+
+    Groups that meet more than one in ``most`` rows, fewer than ``most`` of them, are sent to all tasks, so that no task
+    of the shuffled rest reads more than that share of the rows for one key. The columns of the two must differ.
+    """
+    heavy = F.col(weight) * most > total
+    large = F.broadcast(groups.filter(heavy))
+    rest = rows.join(large, on, "left_anti").join(groups.filter(~heavy), on, "left")
+    return rows.join(large, on).unionByName(rest)
+
+
 def text_scores(score: Callable[[pa.Array], np.ndarray], max_bytes: int = 2 << 20) -> Callable[[Column], Column]:
     """``score`` as a column function of whole texts; null texts count as empty."""
 

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardloom.llm import byte_bpe, embedding_dedup, fingerprint, language_id, line_dedup, minhash, packing, quality, toxicity, url_filter
+from wardloom.llm import (
+    alignment,
+    byte_bpe,
+    embedding_dedup,
+    exact_dedup,
+    fingerprint,
+    language_id,
+    line_dedup,
+    minhash,
+    packing,
+    quality,
+    spelling,
+    toxicity,
+    url_filter,
+)
 from wardloom.llm.common import table
 
 
@@ -60,6 +74,18 @@ def op10_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edited_likeness(table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -71,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_minhash": op9_minhash,
     "op10_fingerprint": op10_fingerprint,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_alignment": op12_alignment,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 _SITE = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -97,4 +126,10 @@ ORACLE_SQL: dict[str, str] = {
                    '^([^/]*\\.)?(cheap|free|best|online)-(pill|bet|loan|casino|replica)s?\\.') THEN 'block' ELSE 'allow' END) AS verdict
         FROM parts LEFT JOIN best USING (page_id)
     """,
+    "op13_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents
+        WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
 }
