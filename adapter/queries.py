@@ -18,7 +18,7 @@ from wardloom.plans.exports import EXPORTS, eligible_patients, export_rows
 from wardloom.plans.extracts import EXTRACTS, _medication, bloods, demographics, episodes, microbiology, virology
 from wardloom.plans.views import VIEWS
 from wardloom.session import configure, shared_folder
-from wardloom.sinks.delimited import OPTIONS, write_delimited
+from wardloom.sinks.delimited import read_export, write_delimited
 from wardloom.sinks.targets import TargetStore
 from wardloom.sources.lookup import concat_by_code, read_code_list
 
@@ -455,8 +455,7 @@ def export_csv_rows(c: Catalog) -> DataFrame:
     spark = rows.sparkSession
     folder = shared_folder(spark, "scratch")
     write_delimited(rows, folder)
-    schema = ", ".join(f"`{name}` string" for name in rows.columns)
-    return spark.read.schema(schema).options(**OPTIONS).csv(folder)
+    return read_export(spark, folder)
 
 
 WAREHOUSE_QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {

@@ -97,6 +97,32 @@ def test_next_event_against_brute_force(spark, every):
     assert rows(got) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("every", ["HOUR", "YEAR"])
+def test_rows_with_their_next_events(spark, every):
+    data, df = _events(spark, 1800)
+    data = [(g, t, i, i[-1]) for g, t, i in data]
+    df = df.withColumn("v", F.substring("id", -1, 1)).withColumn("v", F.when(F.col("v") != "4", F.col("v")))
+    expected = []
+    for g, t, i, v in data:
+        later = sorted(x[1] for x in data if x[0] == g and x[1] is not None and t is not None and x[1] > t)
+        if later:
+            ends = [None if x[3] == "4" else x[3] for x in data if x[0] == g and x[1] == later[0]]
+            expected += [(g, t, i, None if v == "4" else v, later[0], e) for e in ends]
+    got = timeline.with_next_events(df, ["g"], "t", "v", "next", "end", every=every)
+    assert got.columns == ["g", "t", "id", "v", "next", "end"]
+    assert rows(got) == sorted(expected, key=repr)
+    assert len(expected) > len({x[:3] for x in expected})
+
+
+def test_a_month_of_one_group_is_spread(spark):
+    data = [("hot", DAY + timedelta(minutes=20 * k), f"id{k:05d}") for k in range(2000)]
+    df = spark.createDataFrame(data, "g string, t timestamp_ntz, id string")
+    sizes = timeline._dealt(df, ["g"], "t", timeline.SLICE).groupBy(F.pmod(F.hash("_at"), F.lit(4))).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 900
+    got = timeline.sequence_in_group(df, ["g"], ["t", "id"], "n")
+    assert [r.n for r in got.orderBy("id").collect()] == list(range(1, 2001))
+
+
 def test_measures_need_a_value_column():
     columns = ["Pulse", "Pulse_units", "Pulse_EWS", "Temp", "Temp_units", "temp_ews", "lost_ews", "Only"]
     assert reshape.find_measures(columns) == ["Pulse"]

@@ -62,6 +62,18 @@ def test_a_group_is_numbered_in_slices(spark, only_small_broadcasts):
     assert "_at" in numbering
 
 
+@pytest.mark.parametrize(
+    ("name", "table"), [("row_number_episode", "lineitem"), ("movement_next_event", "lineitem"), ("view_movement", "lineitem")]
+)
+def test_rows_are_read_once(spark, name, table):
+    """Numbers and next events come from one shuffle, which both their uses share."""
+    df = QUERIES[name](spark, SMALL)
+    df.collect()
+    ran = plan(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in ran
+    assert sum("FileScan" in x and f"{table}.parquet" in x for x in ran.splitlines()) == 1
+
+
 def test_scans_read_few_columns_and_filter_early(spark):
     text = plan(QUERIES["view_demographics_filtered"](spark, SMALL))
     (scan,) = [x for x in text.splitlines() if "FileScan" in x and "orders" in x]

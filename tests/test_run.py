@@ -11,10 +11,12 @@ from wardloom.__main__ import main
 from wardloom.operators.quality import QualityError
 from wardloom.plans.exports import EXPORTS
 from wardloom.plans.extracts import EXTRACTS
-from wardloom.plans.registry import SCHEMA
-from wardloom.plans.run import export_all, refresh_all
+from wardloom.plans import registry
+from wardloom.plans.registry import KEY, SCHEMA, check_new, check_registry
+from wardloom.plans.run import export_all, refresh_all, update_registry
 from wardloom.plans.spells import SPELL_EPISODES
-from wardloom.sinks.targets import TargetStore
+from wardloom.sinks.delimited import current_export
+from wardloom.sinks.targets import ConflictError, TargetStore
 
 
 @pytest.fixture(scope="module")
@@ -37,11 +39,51 @@ def test_registry_is_filled_once(spark, store, warehouse):
     assert rows(store.read_appended("participant", SCHEMA)) == before
 
 
+def test_two_runs_that_add_to_the_registry(spark, tmp_path, monkeypatch):
+    """The second to finish finds the first one's identifiers and gives only the rest."""
+    store = TargetStore(spark, str(tmp_path))
+    people = {k: spark.createDataFrame([(f"S{i}",) for i in ids], f"{KEY} string") for k, ids in {"one": (1, 2), "two": (2, 3)}.items()}
+    staged = []
+
+    def slow(new, known):
+        check_new(new, known)
+        staged.append(new.count())
+        if len(staged) == 1:  # the other run comes in between
+            other = TargetStore(spark, store.root)
+            update_registry(people["one"], other, clinic.PARAMS)
+
+    monkeypatch.setattr(registry, "check_new", slow)
+    update_registry(people["two"], store, clinic.PARAMS)
+    assert staged == [2, 2, 1] and store.version("participant") == 2
+    found = store.read_appended("participant", SCHEMA)
+    check_registry(found)
+    assert {r[KEY] for r in found.collect()} == {"S1", "S2", "S3"}
+
+
+def test_registry_gives_up_after_some_tries(spark, tmp_path, monkeypatch):
+    store = TargetStore(spark, str(tmp_path))
+    people = spark.createDataFrame([("S1",)], f"{KEY} string")
+    monkeypatch.setattr(store, "version", lambda table: 0)
+    store.append("participant", spark.createDataFrame([("X", "S9")], SCHEMA), 0)
+    with pytest.raises(ConflictError):
+        update_registry(people, store, clinic.PARAMS, tries=2)
+
+
+def test_new_identifiers_are_checked_against_the_registry(spark):
+    known = spark.createDataFrame([("A1", "S1"), ("A2", "S2")], SCHEMA)
+    check_new(spark.createDataFrame([("A3", "S3")], SCHEMA), known)
+    for row in (("A2", "S3"), ("A3", "s1 ")):
+        with pytest.raises(QualityError):
+            check_new(spark.createDataFrame([row], SCHEMA), known)
+    with pytest.raises(QualityError):
+        check_new(spark.createDataFrame([("A3", "S3"), ("A3", "S4")], SCHEMA), known)
+
+
 def test_repeated_result_stops_the_blood_tests(spark, store, warehouse):
     before = store.path("blood_test")
     results = warehouse["HAEM_RESULTS_FILE"]
     doubled = warehouse.with_tables(HAEM_RESULTS_FILE=results.union(results))
-    with pytest.raises(QualityError, match="blood test results"):
+    with pytest.raises(QualityError, match="blood test patient results"):
         refresh_all(doubled, store, clinic.PARAMS, ["blood_test"])
     assert store.path("blood_test") == before
 
@@ -57,7 +99,7 @@ def test_export_files(spark, store, tmp_path):
     export_all(store, str(tmp_path), clinic.PARAMS, single_file=True, at_once=3)
     keys = {r.uhl_system_number for r in store.read("demographics").collect()}
     for name, export in EXPORTS.items():
-        (part,) = glob.glob(f"{tmp_path}/{name}.csv/part-*")
+        (part,) = glob.glob(f"{current_export(spark, f'{tmp_path}/{name}.csv')}/part-*")
         text = open(part).read()
         assert text.splitlines()[0] == "|".join([export.subject, *export.columns, "brc_name"])
         assert not any(key in text for key in keys)

@@ -1,9 +1,9 @@
 """Latest value, sequence number and next event within a group.
 
-A group of any size is cut into slices of time, which come from its rows' own
-times, and each slice is one window.  What a slice needs to know of the others,
-the number of rows before it or the first time after it, is aggregated per
-slice.  Everything is one lazy plan.
+Rows are dealt once, by group and slice of time, so a group of any size is spread over many tasks.  What a slice needs
+to know of the others, the number of rows before it or the first event after it, is aggregated per slice from the same
+dealt rows and handed back as one small row.  Both uses read all columns, so Spark runs their shuffle, and the plan
+below it, once.  Everything is one lazy plan.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: length of a slice
-SLICE = "MONTH"
+#: length of a slice; a century has under a million, as many small rows as one task reads for a group
+SLICE = "HOUR"
 
 
 def latest_per_key(rows: DataFrame, key: Column, value: str, order: Sequence[str], name: str) -> DataFrame:
@@ -26,9 +26,16 @@ def latest_per_key(rows: DataFrame, key: Column, value: str, order: Sequence[str
     return rows.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(name))
 
 
-def _sliced(rows: DataFrame, group: Sequence[str], time: str, every: str) -> DataFrame:
-    """With ``_at``, the group and the slice; both may be NULL, as parts of a key that is not."""
-    return rows.withColumn("_at", F.struct(F.struct(*group).alias("whole"), F.date_trunc(every, time).alias("slice")))
+def _dealt(rows: DataFrame, group: Sequence[Column | str], time: str, every: str) -> DataFrame:
+    """With ``_at``, the group and the slice, by which rows are dealt; both may be NULL, as parts of a key that is not."""
+    at = F.struct(F.struct(*group).alias("whole"), F.date_trunc(every, time).alias("slice"))
+    return rows.withColumn("_at", at).repartition("_at")
+
+
+def _per_slice(dealt: DataFrame, *values: Column) -> DataFrame:
+    """Aggregates per slice, made from the shuffle that ``dealt`` is: they refer to all of its columns."""
+    kept = [c for c in dealt.columns if c != "_at"]
+    return dealt.groupBy("_at").agg(*values, F.max(F.hash(*kept)).alias("_seen")).filter("_seen IS NOT NULL").drop("_seen")
 
 
 def sequence_in_group(
@@ -36,26 +43,58 @@ def sequence_in_group(
 ) -> DataFrame:
     """Number the rows of each group from 1.
 
-    ``order`` starts with a timestamp, whose NULLs come first, and should end in
-    a unique column.
+    ``order`` starts with a timestamp, whose NULLs come first, and should end in a unique column.  Rows of a group that
+    fall into one slice, or have no time, are sorted by one task.
     """
-    sliced = _sliced(rows, group, order[0], every)
-    sizes = sliced.groupBy("_at").agg(F.count(F.lit(1)).alias("_rows"))
+    dealt = _dealt(rows, group, order[0], every)
+    sizes = _per_slice(dealt, F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy("_at.whole").orderBy("_at.slice").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select("_at", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_at").orderBy(*order))
-    numbered = sliced.withColumn("_place", place).join(before, "_at")
+    numbered = dealt.withColumn("_place", place).join(before, "_at")
     return numbered.select(*rows.columns, (F.col("_before") + F.col("_place")).alias(name))
 
 
 def next_event_times(rows: DataFrame, group: Sequence[str], time: str, name: str, every: str = SLICE) -> DataFrame:
     """Each distinct time of a group with the next later one; the last time is left out."""
     times = rows.select(*group, time).filter(F.col(time).isNotNull()).distinct()
-    sliced = _sliced(times, group, time, every)
-    firsts = _sliced(rows.select(*group, time).filter(F.col(time).isNotNull()), group, time, every)
-    firsts = firsts.groupBy("_at").agg(F.min(time).alias("_first"))
+    dealt = _dealt(times, group, time, every)
+    firsts = _per_slice(dealt, F.min(time).alias("_first"))
     following = F.lead("_first").over(Window.partitionBy("_at.whole").orderBy("_at.slice"))
     after = firsts.select("_at", following.alias("_after"))
     within = F.lead(time).over(Window.partitionBy("_at").orderBy(time))
-    found = sliced.withColumn("_within", within).join(after, "_at")
+    found = dealt.withColumn("_within", within).join(after, "_at")
     return found.select(*times.columns, F.coalesce("_within", "_after").alias(name)).filter(F.col(name).isNotNull())
+
+
+def with_next_events(
+    rows: DataFrame,
+    group: Sequence[Column | str],
+    time: str,
+    value: str,
+    next_time: str,
+    next_value: str,
+    every: str = SLICE,
+) -> DataFrame:
+    """Each row once for every row at the next later time of its group, with that time and that row's ``value``.
+
+    Rows without a time, and those at the last time of their group, are left out.  Of the rows at one time only the
+    different values travel, with their number.
+    """
+    dealt = _dealt(rows.filter(F.col(time).isNotNull()), group, time, every)
+    kept = [c for c in dealt.columns if c != "_at"]
+    values = dealt.groupBy("_at", time, value).agg(F.count(F.lit(1)).alias("_n"), F.max(F.hash(*kept)).alias("_seen"))
+    event = F.struct(F.col(time).alias("time"), F.collect_list(F.struct(F.col(value).alias("value"), "_n")).alias("values"))
+    events = values.filter("_seen IS NOT NULL").groupBy("_at", F.col(time).alias("_time")).agg(event.alias("_event"))
+
+    firsts = events.groupBy("_at").agg(F.min_by("_event", "_time").alias("_first"))
+    following = F.lead("_first").over(Window.partitionBy("_at.whole").orderBy("_at.slice"))
+    after = firsts.select("_at", following.alias("_after"))
+    within = F.lead("_event").over(Window.partitionBy("_at").orderBy("_time"))
+    upcoming = events.select("_at", "_time", within.alias("_within")).join(after, "_at")
+    upcoming = upcoming.select("_at", "_time", F.coalesce("_within", "_after").alias("_next")).filter("_next IS NOT NULL")
+
+    found = dealt.join(upcoming, (dealt["_at"] == upcoming["_at"]) & (dealt[time] == upcoming["_time"]))
+    each = found.select(*rows.columns, F.col("_next.time").alias(next_time), F.explode("_next.values").alias("_one"))
+    again = each.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_one._n"))))
+    return again.select(*rows.columns, next_time, F.col("_one.value").alias(next_value))

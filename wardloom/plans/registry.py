@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardloom.functions.keys import match_key
 from wardloom.operators.joins import missing_on_key
-from wardloom.operators.quality import require_unique, require_unique_patients
+from wardloom.operators.quality import QualityError, require_unique, require_unique_patients
 from wardloom.params import Params
 
 KEY = "uhl_system_number"
@@ -46,3 +46,17 @@ def check_registry(registry: DataFrame) -> None:
     """Raise unless identifiers and keys are both unique."""
     require_unique(registry, IDENTIFIER, table="participant")
     require_unique_patients(registry, KEY, table="participant")
+
+
+def check_new(new: DataFrame, known: DataFrame) -> None:
+    """Raise unless the registry stays unique when ``new`` is added to it.
+
+    What was added before has been checked then: only the new rows are grouped,
+    and the known ones are looked up by the new identifiers and keys, which a
+    runtime filter or a broadcast of the few new rows reduces as they are read.
+    """
+    check_registry(new)
+    for column, form in ((IDENTIFIER, F.col), (KEY, match_key)):
+        added = new.select(form(column).alias("_added"))
+        if known.join(added, form(column) == F.col("_added"), "left_semi").head(1):
+            raise QualityError(f"participant: {column} is not unique")

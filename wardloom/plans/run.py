@@ -15,7 +15,7 @@ from wardloom.plans.exports import EXPORTS, eligible_patients, export_rows
 from wardloom.plans.extracts import EXTRACTS, bloods
 from wardloom.plans.spells import SPELL_EPISODES, SPELLS, spell_episodes, spells
 from wardloom.sinks.delimited import write_delimited
-from wardloom.sinks.targets import TargetStore
+from wardloom.sinks.targets import ConflictError, TargetStore
 from wardloom.sources.catalog import Catalog
 from wardloom.sources.lookup import check_code_list, concat_by_code
 
@@ -70,13 +70,25 @@ def refresh(table: str, catalog: Catalog, store: TargetStore, params: Params) ->
     return published
 
 
-def update_registry(people: DataFrame, store: TargetStore, params: Params) -> None:
-    """Give new patients an identifier; existing ones keep theirs."""
-    known = store.read_appended(REGISTRY, registry_plan.SCHEMA)
-    new = store.replace(PARTICIPANTS, registry_plan.new_participants(people, known, params))
-    if new.head(1):
-        registry_plan.check_registry(known.unionByName(new))
-        store.append(REGISTRY, new)
+def update_registry(people: DataFrame, store: TargetStore, params: Params, tries: int = 10) -> None:
+    """Give new patients an identifier; existing ones keep theirs.
+
+    If another run has added to the registry since this one has read it, the new
+    identifiers are made once more, for those who still have none.
+    """
+    for left in reversed(range(tries)):
+        version = store.version(REGISTRY)
+        known = store.read_appended(REGISTRY, registry_plan.SCHEMA, version)
+        new = store.replace(PARTICIPANTS, registry_plan.new_participants(people, known, params))
+        if not new.head(1):
+            return
+        registry_plan.check_new(new, known)
+        try:
+            store.append(REGISTRY, new, version)
+            return
+        except ConflictError:
+            if not left:
+                raise
 
 
 def with_patient_results(catalog: Catalog, store: TargetStore, params: Params) -> Catalog:

@@ -7,10 +7,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.functions.keys import match_key
+from wardloom.functions.keys import match_key, match_text
 from wardloom.functions.predicates import timestamp
 from wardloom.functions.scalars import blank_if_null, outcode_legacy
-from wardloom.operators.timeline import next_event_times
+from wardloom.operators.timeline import with_next_events
 from wardloom.params import Params
 from wardloom.sources.catalog import Catalog
 
@@ -223,20 +223,22 @@ def movement(catalog: Catalog, params: Params) -> DataFrame:
     """Each ward movement with the next later one of its spell.
 
     Movements at the same time each count, on both sides; the last time of a
-    spell has no next one and is left out.
+    spell has no next one and is left out.  Spells are compared as codes are.
     """
-    transfers = catalog["transfer"]
-    following = next_event_times(transfers, ["spell_id"], "transfer_datetime", "end_datetime")
-    ends = transfers.select(
-        "spell_id",
-        F.col("transfer_datetime").alias("end_datetime"),
-        F.col("transfer_type").alias("end_type"),
+    transfers = catalog["transfer"].filter(F.col("spell_id").isNotNull())
+    transfers = transfers.select(
+        KEY, "spell_id", "transfer_datetime", "transfer_type", "hospital", "ward_code", "ward_name"
+    )
+    spell = match_text("spell_id").alias("spell")
+    followed = with_next_events(
+        transfers, [spell], "transfer_datetime", "transfer_type", "end_datetime", "end_type"
     )
     patients = demographics_filtered(catalog, params).select(
         match_key(KEY).alias("_key"), F.col("participant_identifier").alias("Subject")
     )
-    starts = transfers.withColumn("_key", match_key(KEY)).join(patients, "_key")
-    rows = starts.join(following, ["spell_id", "transfer_datetime"]).join(ends, ["spell_id", "end_datetime"])
+    # null-safe, so that no filter on the key gets below the shuffle that both uses of it share
+    same = match_key(KEY).eqNullSafe(F.col("_key"))
+    rows = followed.join(patients.filter(F.col("_key").isNotNull()), same)
     return rows.select(
         *_provenance(params),
         "Subject",

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "CURRENT"
+from wardloom.sinks import files
+
+VERSIONS, PARTS = "versions", "parts"
+
+
+class ConflictError(RuntimeError):
+    """Someone else has added to a table since it was read."""
 
 
 class TargetStore:
@@ -16,6 +23,11 @@ class TargetStore:
     Every refresh writes a new folder ``<root>/<table>/<run>``.  Once it has
     been checked, ``<root>/<table>/CURRENT`` is pointed at it, so a reader
     sees the old table or the new one and a failed run changes nothing.
+
+    A table that only grows has its rows in ``parts`` and, for each version, a
+    file in ``versions`` that lists the parts.  A version can be created only
+    once, so of two writers who have read the same one, one gets a
+    ``ConflictError`` and has to look at the table again.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -23,17 +35,11 @@ class TargetStore:
         self.root = root.rstrip("/")
 
     def _file_system(self, path: str):
-        jvm = self.spark._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+        return files.file_system(self.spark, path)
 
     def path(self, table: str) -> str | None:
         """The folder that holds the published table."""
-        pointer = f"{self.root}/{table}/{POINTER}"
-        fs, path = self._file_system(pointer)
-        if not fs.exists(path):
-            return None
-        return self.spark.read.text(pointer, wholetext=True).first()[0].strip()
+        return files.pointed_at(self.spark, f"{self.root}/{table}")
 
     def __contains__(self, table: str) -> bool:
         return self.path(table) is not None
@@ -62,26 +68,9 @@ class TargetStore:
         written = self.spark.read.parquet(path)
         if check:
             check(written)
-        self._point(table, path)
+        files.point(self.spark, f"{self.root}/{table}", path)
         return written
 
-    def _point(self, table: str, path: str) -> None:
-        """Write the pointer beside the old one and put it in its place in one step."""
-        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
-        new = f"{self.root}/{table}/{POINTER}.{uuid.uuid4().hex}"
-        fs, new_path = self._file_system(new)
-        out = fs.create(new_path, True)
-        out.write(bytearray(path.encode()))
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            fs.getUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        options = gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        pointer = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/{POINTER}")
-        context.rename(fs.makeQualified(new_path), fs.makeQualified(pointer), options)
-
     def prune(self, table: str, keep: int = 1) -> None:
         """Delete runs that are no longer published, but for the latest ``keep`` of them.
 
@@ -95,12 +84,38 @@ class TargetStore:
         for status in old[keep:]:
             fs.delete(status.getPath(), True)
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows to a table that is never replaced."""
-        rows.write.mode("append").parquet(f"{self.root}/{table}")
+    def version(self, table: str) -> int:
+        """The number of times rows have been added to a table that only grows."""
+        fs, folder = self._file_system(f"{self.root}/{table}/{VERSIONS}")
+        if not fs.exists(folder):
+            return 0
+        return max((int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit()), default=0)
+
+    def _parts(self, table: str, version: int) -> list[str]:
+        if version == 0:
+            return []
+        return json.loads(files.read_text(self.spark, f"{self.root}/{table}/{VERSIONS}/{version:012d}"))
 
-    def read_appended(self, table: str, schema: str) -> DataFrame:
-        fs, path = self._file_system(f"{self.root}/{table}")
-        if not fs.exists(path):
+    def append(self, table: str, rows: DataFrame, read: int | None = None) -> int:
+        """Add rows to a table that is never replaced; return its new version.
+
+        ``read`` is the version that the rows were made from.  If there is a
+        later one by now, nothing is added and ``ConflictError`` is raised.
+        Without it the rows are added to whatever is there.
+        """
+        part = uuid.uuid4().hex
+        rows.write.parquet(f"{self.root}/{table}/{PARTS}/{part}")
+        while True:
+            last = self.version(table) if read is None else read
+            listed = json.dumps([*self._parts(table, last), part])
+            if files.create_once(self.spark, f"{self.root}/{table}/{VERSIONS}/{last + 1:012d}", listed):
+                return last + 1
+            if read is not None:
+                raise ConflictError(f"{table} has a later version than {read}")
+
+    def read_appended(self, table: str, schema: str, version: int | None = None) -> DataFrame:
+        """The table as of a version, the last one unless given."""
+        parts = self._parts(table, self.version(table) if version is None else version)
+        if not parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{table}/{PARTS}/{p}" for p in parts])
