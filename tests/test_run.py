@@ -13,10 +13,11 @@ from wardloom.plans.exports import EXPORTS
 from wardloom.plans.extracts import EXTRACTS
 from wardloom.plans import registry
 from wardloom.plans.registry import KEY, SCHEMA, check_new, check_registry
-from wardloom.plans.run import export_all, refresh_all, update_registry
+from wardloom.plans.run import export_all, exported, refresh_all, update_registry
 from wardloom.plans.spells import SPELL_EPISODES
 from wardloom.sinks.delimited import current_export
-from wardloom.sinks.targets import ConflictError, TargetStore
+from wardloom.sinks import targets
+from wardloom.sinks.targets import PATIENT, ConflictError, TargetStore
 
 
 @pytest.fixture(scope="module")
@@ -105,6 +106,49 @@ def test_export_files(spark, store, tmp_path):
         assert not any(key in text for key in keys)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, "-1")
+    yield
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.unset(name)
+
+
+def test_exports_shuffle_nothing(spark, store, no_broadcast, tmp_path):
+    export_all(store, str(tmp_path), clinic.PARAMS, ["orders"])
+    for name in EXPORTS:
+        text = exported(name, store, clinic.PARAMS)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "SortMergeJoin" in text and "Bucketed: true" in text, name
+
+
+def test_layout_is_found_again(spark, store, no_broadcast, tmp_path):
+    export_all(store, str(tmp_path), clinic.PARAMS, ["orders"])
+    before = rows(exported("orders", store, clinic.PARAMS))
+    for table in spark.catalog.listTables():
+        if table.name.startswith("wardloom_"):
+            spark.sql(f"DROP TABLE {table.name}")
+    assert rows(exported("orders", TargetStore(spark, store.root), clinic.PARAMS)) == before
+    assert PATIENT not in store.read("orders").columns
+
+
+def test_hot_patient_is_not_read_by_one_task(spark, tmp_path, monkeypatch, no_broadcast):
+    monkeypatch.setattr(targets, "SMALL_BUCKET", 0)
+    monkeypatch.setattr(targets, "UNEVEN", 2)
+    store = TargetStore(spark, str(tmp_path))
+    even = spark.range(4000).select(F.col("id").cast("string").alias(KEY), "id")
+    store.replace("even", even, patient=F.col(KEY))
+    hot = even.withColumn(KEY, F.when(F.col("id") % 4 != 0, "7").otherwise(F.col(KEY)))
+    store.replace("hot", hot, patient=F.col(KEY))
+    assert rows(store.read("hot")) == rows(hot)
+
+    def plan(left, right):
+        joined = store.read_by_patient(left).join(store.read_by_patient(right).select(PATIENT, F.col("id").alias("other")), PATIENT)
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    assert "Exchange" not in plan("even", "even") and "Exchange" in plan("hot", "even")
+
+
 def test_command_line(spark, tmp_path, capsys):
     source, store, out = f"{tmp_path}/source", f"{tmp_path}/store", f"{tmp_path}/out"
     catalog = clinic.warehouse(spark, SMALL)

@@ -1,8 +1,12 @@
+from datetime import datetime
+
 import pytest
 from conftest import SMALL, rows
 from pyspark.sql import types as T
 
 from adapter import clinic
+from wardloom.params import Params
+from wardloom.plans.extracts import observations
 from wardloom.sources.catalog import Catalog
 from wardloom.sources.legacy_tables import LEGACY_SCHEMAS, legacy_schema
 from wardloom.sources.lookup import check_code_list, concat_by_code, read_code_list
@@ -31,6 +35,23 @@ def test_catalog_sources(spark, tmp_path):
     assert Catalog.from_metastore(spark, {"t": "some_table"})["t"].count() == 4
 
 
+def test_measures_of_later_files_are_found(spark, tmp_path):
+    folder = f"{tmp_path}/ObsExport"
+    first = "ObsId int, `System Number > Patient ID` string, Timestamp timestamp_ntz, Pulse int, Pulse_units string, Pulse_EWS int"
+    at = datetime(2021, 1, 1)
+    spark.createDataFrame([(1, "S1", at, 60, "bpm", 0)], first).write.parquet(folder)
+    later = first.replace("Pulse", "Temp")
+    spark.createDataFrame([(2, "S1", at, 37, "C", 1)], later).write.mode("append").parquet(folder)
+    catalog = Catalog.from_parquet(spark, str(tmp_path), ["ObsExport"])
+    cohort = spark.createDataFrame([("S1",)], "UHL_System_Number string")
+    got = observations.build(catalog.with_tables(all_suspected_covid=cohort), Params())
+    assert sorted((r.observation_id, r.observation_code, r.observation_result) for r in got.collect()) == [(1, "Pulse", "60"), (2, "Temp", "37")]
+    clash = first.replace("Pulse int", "Pulse string")
+    spark.createDataFrame([(3, "S1", at, "60", "bpm", 0)], clash).write.mode("append").parquet(folder)
+    with pytest.raises(Exception, match="(?i)merge"):
+        Catalog.from_parquet(spark, str(tmp_path), ["ObsExport"])["ObsExport"].count()
+
+
 def test_jdbc_tables_are_partitioned_or_said_to_be_small(spark):
     with pytest.raises(ValueError, match="partitionColumn"):
         Catalog.from_jdbc(spark, "jdbc:none:", {"facts": {"dbtable": "facts"}})

@@ -310,10 +310,25 @@ def eligible_patients(episodes: DataFrame, params: Params) -> DataFrame:
     return admitted.select(match_key(KEY).alias("eligible_key")).distinct()
 
 
+def exported_patients(registry: DataFrame, eligible: DataFrame) -> DataFrame:
+    """Keys, as they are compared, and identifiers of the registered patients who are eligible."""
+    people = registry.select(match_key(KEY).alias("_key"), IDENTIFIER)
+    return people.join(eligible, F.col("_key") == F.col("eligible_key"), "left_semi")
+
+
 def export_rows(
     export: Export, target: DataFrame, registry: DataFrame, eligible: DataFrame, params: Params
 ) -> DataFrame:
     """The rows of one export; the patient key does not leave this function."""
+    # patients are few beside the rows: settle who is exported before touching the rows
+    people = exported_patients(registry, eligible)
+    return rows_of_patients(export, target, match_key(KEY), people, F.col("_key"), params)
+
+
+def rows_of_patients(
+    export: Export, target: DataFrame, key: Column, people: DataFrame, people_key: Column, params: Params
+) -> DataFrame:
+    """As ``export_rows``, for patients with their identifiers; keys are given as they are compared."""
     rows = target
     for date in export.dates:
         rows = rows.filter(within_cutoff(date, params.cutoff))
@@ -321,12 +336,10 @@ def export_rows(
         rows = rows.filter(export.keep())
     computed = dict(export.computed)
     rows = rows.select(
-        match_key(KEY).alias("_key"),
+        key.alias("_key"),
         *[computed[c]().alias(c) if c in computed else F.col(c) for c in export.columns],
     )
-    people = registry.select(match_key(KEY).alias("_key"), F.col(IDENTIFIER).alias(export.subject))
-    # patients are few beside the rows: settle who is exported before touching the rows
-    people = people.join(eligible, F.col("_key") == F.col("eligible_key"), "left_semi")
+    people = people.select(people_key.alias("_key"), F.col(IDENTIFIER).alias(export.subject))
     return rows.join(people, "_key").select(
         export.subject, *export.columns, F.lit(params.provenance).alias(PROVENANCE)
     )

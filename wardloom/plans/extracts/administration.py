@@ -21,6 +21,19 @@ def classes_by_product(catalog: Catalog) -> DataFrame:
     )
 
 
+def class_texts(used: DataFrame, classes: DataFrame) -> DataFrame:
+    """The text of each different list of products and their numbers of events: the classes of all, once for each event.
+
+    There are far fewer lists than groups of events, and only lists and texts are joined.
+    """
+    one = used.distinct().withColumn("one", F.explode("products"))
+    one = one.join(classes, F.col("one.product_id") == F.col("product_id"))
+    times = F.array_repeat("classes", F.col("one.events").cast("int"))
+    each = one.select("products", F.flatten(times).alias("classes"))
+    lists = each.groupBy("products").agg(F.flatten(F.collect_list("classes")).alias("classes"))
+    return lists.select("products", F.array_join(F.array_sort("classes"), ", ").alias("therapeutical_class"))
+
+
 def build(catalog: Catalog, params: Params) -> DataFrame:
     events = (
         catalog["tciAdminEvent"]
@@ -35,13 +48,14 @@ def build(catalog: Catalog, params: Params) -> DataFrame:
             F.col("roa").alias("roa"),
         )
     )
-    # names are gathered per product, so that an event stays one row through the joins
-    medication = cohort_medication(catalog).join(classes_by_product(catalog), "product_id")
+    classes = classes_by_product(catalog)
+    # an event carries the id of its product only, and is dropped if that has no class
+    medication = cohort_medication(catalog).join(classes.select("product_id"), "product_id", "left_semi")
     rows = events.join(medication, "medication_id")
     rows = left_lookup(
         rows, catalog["MF_DOSAGE_ASSIST_ROUTE_OF_ADMINISTRATION_WHO"], "roa", "reference", route="name"
     )
-    grouped = rows.groupBy(
+    group = (
         "uhl_system_number",
         "prescription_order_id",
         "administration_datetime",
@@ -50,12 +64,17 @@ def build(catalog: Catalog, params: Params) -> DataFrame:
         "dose",
         "dosage_unit",
         "route",
-    ).agg(F.flatten(F.collect_list("classes")).alias("classes"))
+    )
+    counted = rows.groupBy(*group, "product_id").agg(F.count(F.lit(1)).alias("events"))
+    grouped = counted.groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.struct("product_id", "events"))).alias("products")
+    )
+    named = grouped.join(class_texts(grouped.select("products"), classes), "products")
     # dose and its id are part of the group but not of the result, so rows may repeat
-    return grouped.select(
+    return named.select(
         "uhl_system_number",
         "prescription_order_id",
-        F.array_join(F.array_sort("classes"), ", ").alias("therapeutical_class"),
+        "therapeutical_class",
         "medication_name",
         "administration_datetime",
         "dosage_unit",

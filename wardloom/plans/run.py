@@ -6,16 +6,18 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from wardloom.functions.keys import match_key
 from wardloom.operators.quality import require_target, require_unique, require_unique_patients
 from wardloom.params import Params
 from wardloom.plans import registry as registry_plan
 from wardloom.plans.contracts import KEY, REQUIRED, UNIQUE_KEY, require_contract, text_limits
-from wardloom.plans.exports import EXPORTS, eligible_patients, export_rows
+from wardloom.plans.exports import EXPORTS, eligible_patients, exported_patients, rows_of_patients
 from wardloom.plans.extracts import EXTRACTS, bloods
 from wardloom.plans.spells import SPELL_EPISODES, SPELLS, spell_episodes, spells
 from wardloom.sinks.delimited import write_delimited
-from wardloom.sinks.targets import ConflictError, TargetStore
+from wardloom.sinks.targets import PATIENT, ConflictError, TargetStore
 from wardloom.sources.catalog import Catalog
 from wardloom.sources.lookup import check_code_list, concat_by_code
 
@@ -64,7 +66,7 @@ def refresh(table: str, catalog: Catalog, store: TargetStore, params: Params) ->
         check_code_list(concat_by_code(catalog["risk_factor_codes"]))
     rows = EXTRACTS[table](catalog, params)
     require_contract(rows, table)
-    published = store.replace(table, rows, check_target(table), ORDER.get(table, ()))
+    published = store.replace(table, rows, check_target(table), ORDER.get(table, ()), match_key(KEY))
     if table == "demographics":
         update_registry(published, store, params)
     return published
@@ -137,18 +139,28 @@ def export_all(
     single_file: bool = False,
     at_once: int = 1,
 ) -> None:
-    """Write the given exports as ``<folder>/<name>.csv``; who is eligible is worked out once."""
+    """Write the given exports as ``<folder>/<name>.csv``.
+
+    Who is exported is worked out once and laid out by patient as the targets
+    are, so that their rows are not shuffled.
+    """
     known = store.read_appended(REGISTRY, registry_plan.SCHEMA)
-    eligible = store.replace(ELIGIBLE, eligible_patients(store.read("episodes"), params))
+    people = exported_patients(known, eligible_patients(store.read("episodes"), params))
+    store.replace(ELIGIBLE, people, patient=F.col("_key"))
 
     def write(name: str) -> None:
-        export = EXPORTS[name]
-        rows = export_rows(export, store.read(export.target), known, eligible, params)
-        write_delimited(rows, f"{folder}/{name}.csv", single_file)
+        write_delimited(exported(name, store, params), f"{folder}/{name}.csv", single_file)
 
     _each(write, EXPORTS if names is None else names, at_once)
 
 
+def exported(name: str, store: TargetStore, params: Params) -> DataFrame:
+    """The rows of one export, from the store; who is exported has been worked out."""
+    export, key = EXPORTS[name], F.col(PATIENT)
+    target, people = store.read_by_patient(export.target), store.read_by_patient(ELIGIBLE)
+    return rows_of_patients(export, target, key, people, key, params)
+
+
 def _each(job: Callable[[str], object], names: Iterable[str], at_once: int) -> None:
     """Run a job per name; the first failure is raised."""
     with ThreadPoolExecutor(at_once) as pool:

@@ -21,7 +21,12 @@ def file_system(spark: SparkSession, path: str):
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    fs, source = file_system(spark, path)
+    stream = fs.open(source)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

@@ -3,20 +3,32 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from wardloom.sinks import files
 
 VERSIONS, PARTS = "versions", "parts"
 
+#: the column by which a table is laid out, and the file that says how
+PATIENT, LAYOUT = "_patient", "_LAYOUT.json"
+BUCKET_FILE = re.compile(r"_(\d+)(?:\..*)?$")
+#: buckets are read one per task unless the largest is so many times the mean, and not small anyway
+UNEVEN, SMALL_BUCKET = 5, 32 << 20
+
 
 class ConflictError(RuntimeError):
     """Someone else has added to a table since it was read."""
 
 
+def _table_name(path: str) -> str:
+    """The name under which the session knows a run that is laid out by patient."""
+    return f"wardloom_{path.rsplit('/', 1)[-1]}"
+
+
 class TargetStore:
     """Target tables under one folder of a file system Spark can reach.
 
@@ -28,11 +40,16 @@ class TargetStore:
     file in ``versions`` that lists the parts.  A version can be created only
     once, so of two writers who have read the same one, one gets a
     ``ConflictError`` and has to look at the table again.
+
+    Tables may be laid out by patient: their files are buckets of a column with
+    the key as it is compared, so that two of them join without a shuffle.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        """``buckets`` of tables laid out by patient: as many as a shuffle has partitions, unless given."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _file_system(self, path: str):
         return files.file_system(self.spark, path)
@@ -44,11 +61,32 @@ class TargetStore:
     def __contains__(self, table: str) -> bool:
         return self.path(table) is not None
 
-    def read(self, table: str) -> DataFrame:
+    def _published(self, table: str) -> str:
         path = self.path(table)
         if path is None:
             raise KeyError(f"target table {table!r} has not been refreshed")
-        return self.spark.read.parquet(path)
+        return path
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(self._published(table)).drop(PATIENT)
+
+    def read_by_patient(self, table: str) -> DataFrame:
+        """The table with ``PATIENT``, the key as it is compared, and without a shuffle by it where that is as well.
+
+        One task reads a bucket, so if one of them is far larger than the others the files are read as they come, and a
+        join splits the hot key.
+        """
+        path = self._published(table)
+        layout = json.loads(files.read_text(self.spark, f"{path}/{LAYOUT}"))
+        if not layout["even"]:
+            return self.spark.read.parquet(path)
+        name = _table_name(path)
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(
+                f"CREATE TABLE {name} ({layout['columns']}) USING parquet CLUSTERED BY ({PATIENT})"
+                f" SORTED BY ({PATIENT}) INTO {layout['buckets']} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(name)
 
     def replace(
         self,
@@ -56,21 +94,41 @@ class TargetStore:
         rows: DataFrame,
         check: Callable[[DataFrame], None] | None = None,
         order: Sequence[str] = (),
+        patient: Column | None = None,
     ) -> DataFrame:
         """Write, check, publish; return the published table.
 
-        ``order`` sorts the rows of each file, not the table as a whole.
+        ``order`` sorts the rows of each file, not the table as a whole.  With
+        ``patient``, the key as it is compared, the table is laid out by it.
         """
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
-        if order:
-            rows = rows.sortWithinPartitions(*order)
-        rows.write.parquet(path)
-        written = self.spark.read.parquet(path)
+        if patient is not None:
+            self._write_by_patient(rows, path, order, patient)
+        else:
+            if order:
+                rows = rows.sortWithinPartitions(*order)
+            rows.write.parquet(path)
+        written = self.spark.read.parquet(path).drop(PATIENT)
         if check:
             check(written)
         files.point(self.spark, f"{self.root}/{table}", path)
         return written
 
+    def _write_by_patient(self, rows: DataFrame, path: str, order: Sequence[str], patient: Column) -> None:
+        # rebalancing brings the rows of a bucket together, and splits what is too much for one task
+        laid = rows.withColumn(PATIENT, patient).hint("rebalance", PATIENT)
+        writer = laid.write.format("parquet").bucketBy(self.buckets, PATIENT).sortBy(PATIENT, *order)
+        writer.option("path", path).saveAsTable(_table_name(path))
+        fs, folder = self._file_system(path)
+        sizes = [0] * self.buckets
+        for status in fs.listStatus(folder):
+            if bucket := BUCKET_FILE.search(status.getPath().getName()):
+                sizes[int(bucket[1])] += status.getLen()
+        even = max(sizes) <= max(UNEVEN * sum(sizes) // self.buckets, SMALL_BUCKET)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in laid.schema.fields)
+        layout = {"buckets": self.buckets, "columns": columns, "even": even}
+        files.write_text(self.spark, f"{path}/{LAYOUT}", json.dumps(layout))
+
     def prune(self, table: str, keep: int = 1) -> None:
         """Delete runs that are no longer published, but for the latest ``keep`` of them.
 
@@ -82,6 +140,7 @@ class TargetStore:
         old = [s for s in runs if current is None or s.getPath().getName() != current.rsplit("/", 1)[1]]
         old.sort(key=lambda s: s.getModificationTime(), reverse=True)
         for status in old[keep:]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(status.getPath().getName())}")
             fs.delete(status.getPath(), True)
 
     def version(self, table: str) -> int:

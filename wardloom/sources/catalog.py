@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 Loader = Callable[[], DataFrame]
 
+#: tables whose columns are discovered: a later file may bring a new measure
+WIDE = ("ObsExport",)
+
 
 class Catalog:
     """A read-only mapping from logical table name to DataFrame.
@@ -41,11 +44,15 @@ class Catalog:
         return Catalog({**self._loaders, **tables})
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, names: list[str]) -> Catalog:
-        """One parquet folder (or file) per table under ``root``."""
+    def from_parquet(cls, spark: SparkSession, root: str, names: list[str], merged: Collection[str] = WIDE) -> Catalog:
+        """One parquet folder (or file) per table under ``root``.
+
+        A folder has the columns of one of its files, but for those in ``merged``: they have the columns of all, and a
+        file lacks values where it lacks a column.  A column of different types in two files is an error.
+        """
 
         def loader(name: str) -> Loader:
-            return lambda: spark.read.parquet(f"{root}/{name}")
+            return lambda: spark.read.option("mergeSchema", name in merged).parquet(f"{root}/{name}")
 
         return cls({name: loader(name) for name in names})
 
