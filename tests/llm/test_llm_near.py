@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -71,6 +72,8 @@ def shingles(text, width):
 @pytest.mark.parametrize("block", [512, 8])
 def test_minhash_against_brute_force(spark, monkeypatch, width, block):
     monkeypatch.setattr(lsh, "BLOCK", block)
+    if block < 512:
+        monkeypatch.setattr(lsh, "COPIES", 0)  # the way of very large buckets
     data = [(k, t, k) for k, t in enumerate(near_texts())] + [(999, None, 0)]
     docs = spark.createDataFrame(data, "doc_id long, text string, handle int")
     got = minhash.near_duplicates(docs, width=width).collect()
@@ -150,6 +153,92 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.deduplicated(docs.limit(0)).count() == 0 == line_dedup.line_report(docs.limit(0)).count()
 
 
+@pytest.mark.parametrize("copies", [0, 16])
+def test_lines_of_one_template(spark, monkeypatch, copies):
+    """Lines that differ in a number have no links; a bucket that holds them all is not compared pair by pair."""
+    monkeypatch.setattr(lsh, "BLOCK", 8)
+    monkeypatch.setattr(lsh, "COPIES", copies)
+    rng = random.Random(11)
+    lines = [f"Your parcel {rng.randrange(10**12):012d} has been handed to the carrier" for _ in range(250)]
+    lines += [x + "s" for x in lines[:20]] + [x.replace("Your", "A") for x in lines[30:40]]
+    docs = [(k, "\n".join(lines[k::20])) for k in range(20)]
+    report = line_dedup.line_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.line_no): (r.kept_key, r.kept_line) for r in report} == kept_lines(docs)
+    assert 15 < sum(not r.kept for r in report) < 60
+
+
+def test_template_lines_meet_in_proportion(spark, monkeypatch):
+    """The rows that cells get grow with the lines, not with their square."""
+    monkeypatch.setattr(lsh, "BLOCK", 8)
+    monkeypatch.setattr(lsh, "COPIES", 0)
+    sizes = []
+    compared = lsh._compared
+
+    def counted(meetings, *rest):
+        sizes.append(lsh._copies(meetings).agg({"copies": "sum"}).first()[0] or 0)
+        return compared(meetings, *rest)
+
+    monkeypatch.setattr(lsh, "_compared", counted)
+    rng = random.Random(12)
+    for n in (200, 800):
+        lines = [f"Your parcel {rng.randrange(10**12):012d} has been handed to the carrier" for _ in range(n)]
+        line_dedup.removals(spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id long, text string")).count()
+    assert sizes[1] <= 6 * max(sizes[0], 100)
+
+
+def test_shared_buckets_across_batches():
+    rng = np.random.default_rng(2)
+    for step in (1, 2, 3, 50):
+        bucket = np.sort(rng.integers(0, 12, 40))
+        handle = np.concatenate([np.sort(rng.choice(1000, n, False)) for n in np.unique(bucket, return_counts=True)[1]])
+        table = pa.table({"bucket": bucket, "handle": handle})
+        got = [tuple(r.values()) for b in lsh._shared(table.to_batches(step)) for r in b.to_pylist()]
+        expected = []
+        for k in set(bucket.tolist()):
+            members = handle[bucket == k].tolist()
+            expected += [(k, h, members[0]) for h in members] if len(members) > 1 else []
+        assert sorted(got) == sorted(expected)
+
+
+@pytest.mark.parametrize(("words", "changed", "least"), [(94, 2, 0.995), (134, 2, 0.995)])
+def test_recall_of_documents_near_the_threshold(spark, words, changed, least):
+    """Pairs at similarities of exactly 0.8 and of 0.857, many of them."""
+    rng = random.Random(13)
+    data = []
+    for k in range(400):
+        base = [f"w{k}x{j}" for j in range(words)]
+        other = list(base)
+        for at in rng.sample(range(5, words - 5, 12), changed):
+            other[at] = "changed"
+        data += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    pairs = [(shingles(a[1], 5), shingles(b[1], 5)) for a, b in zip(data[::2], data[1::2], strict=True)]
+    near = {2 * k + 1 for k, (a, b) in enumerate(pairs) if similar(a, b)}
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert len(near) == 400 and all(len(a & b) / len(a | b) < 0.9 for a, b in pairs)
+    assert sum(got[k] == k - 1 for k in near) >= least * len(near)
+
+
+def test_columns_of_any_name_stay(spark):
+    line = "a line that is long enough to be compared with others"
+    names = ["_key", "_version", "_gone", "_own", "_place", "_row", "own", "doc", "body", "removed", "key", "kept", "a.b"]
+    data = [(1, f"{line}\nfirst", *range(len(names))), (2, f"{line}\nsecond and quite another one", *range(len(names)))]
+    docs = spark.createDataFrame(data, "doc_id long, text string, " + ", ".join(f"`{c}` int" for c in names))
+    left = line_dedup.deduplicated(docs)
+    assert left.columns == [*docs.columns, "_lines_removed"]
+    assert sorted(map(tuple, left.collect())) == [(*data[0], 0), (2, "second and quite another one", *range(len(names)), 1)]
+    for stage in (corpus_pipeline.without_repeated_lines, corpus_pipeline.without_near_copies):
+        kept = stage(spark, docs, "")
+        assert kept.columns == docs.columns and sorted(tuple(r)[2:] for r in kept.collect()) == [tuple(range(len(names)))] * 2
+
+
+def test_choice_among_rows_of_one_id_is_stable(spark):
+    text = " ".join(f"t{k}" for k in range(60))
+    data = [(1, text, lang, source) for lang in "abc" for source in "xy"] * 2
+    schema = "doc_id long, text string, lang string, source string"
+    left = [corpus_pipeline.without_near_copies(spark, spark.createDataFrame(rows, schema).repartition(n), "").collect() for rows, n in ((data, 1), (data[::-1], 3))]
+    assert len(left[0]) == 1 and left[0] == left[1]
+
+
 def test_repeated_rows_keep_their_lines(spark):
     line = "a line that is long enough to be compared with others"
     docs = spark.createDataFrame([(1, line), (1, line), (None, line), (2, line + "!")], "doc_id long, text string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 PLAIN_LATIN = "\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ac\\u00ae-\\u012f\\u0131-\\u0177"
 
 
+#: Bytes that Spark hands to a Python worker at once.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; only a local session that names none gets one of its own."""
     context = spark.sparkContext
@@ -39,7 +44,12 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def reachable(spark: SparkSession) -> None:
-    """Lets Python workers import this library from where the driver did; what --py-files brings them comes first."""
+    """Lets Python workers import this library from where the driver did; what --py-files brings them comes first.
+
+    Unless the session says otherwise, they get batches of a few megabytes at most, whatever the length of texts.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -57,13 +67,25 @@ def remainder(key: Column, divisor: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % divisor
 
 
-def batches(read: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``max_bytes`` at most, but for single larger rows."""
-    for batch in read:
-        rows = batch.num_rows
-        step = max(1, int(rows * max_bytes / max(batch.nbytes, 1)))
-        for start in range(0, rows, step):
-            yield batch.slice(start, step)
+    step = max(1, int(batch.num_rows * max_bytes / max(batch.nbytes, 1)))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
+
+
+def batches(read: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches of a task in ``slices``.
+
+    At the end the worker, which Spark keeps for later tasks, gives back what it has no more use for.
+    """
+    try:
+        for batch in read:
+            yield from slices(batch, max_bytes)
+    finally:
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -197,7 +219,7 @@ def text_scores(score: Callable[[pa.Array], np.ndarray], max_bytes: int = 2 << 2
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         batch = pa.record_batch([texts], names=["text"])
-        parts = [score(part.column("text")) for part in batches(iter([batch]), max_bytes)]
+        parts = [score(part.column("text")) for part in slices(batch, max_bytes)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return scored

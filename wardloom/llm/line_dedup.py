@@ -7,19 +7,21 @@ and position.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.llm.common import batches, likely, mix64, settle
-from wardloom.llm.lsh import similar
+from wardloom.llm.common import batches, join_by_weight, likely, mix64, settle
+from wardloom.llm.lsh import bucket_numbers, similar
 from wardloom.llm.minhash import band_hashes
 
 #: Characters of a shingle; bands and rows: at a similarity of 0.8, one pair in 550 shares no band; at 0.9, one in 10**5.
 WIDTH, BANDS, ROWS = 7, 12, 4
+#: Bytes of lines that are hashed at once: what comes of them stays in the cache of a core.
+SLICE = 1 << 18
 #: Shorter lines are left alone: none but blank ones. Those under WIDTH have one shingle, so only equal ones are linked.
 LEAST = 1
 #: What a line holds that is not blank: anything but white space, as Unicode has it.
@@ -34,10 +36,7 @@ def shingles(lines: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarra
     many = np.maximum(sizes - width + 1, np.minimum(sizes, 1))
     first = np.concatenate([[0], np.cumsum(many)])
     starts = np.cumsum(sizes) - sizes
-    padded = np.concatenate([chars, np.zeros(width, np.uint64)])
-    rolled = np.zeros(len(chars), np.uint64)
-    for k in range(width):
-        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + padded[k : k + len(chars)]
+    rolled = _rolled(chars, width)
     at = np.repeat(starts - first[:-1], many) + np.arange(first[-1])
     hashes = mix64(rolled[at])
     for k in np.flatnonzero((sizes > 0) & (sizes < width)):  # the whole line, by itself
@@ -48,24 +47,51 @@ def shingles(lines: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarra
     return hashes, first
 
 
+def _rolled(chars: np.ndarray, width: int) -> np.ndarray:
+    """Polynomials of the ``width`` characters from each position, made from those of half as many."""
+    if width == 1:
+        return chars
+    half = _rolled(chars, width // 2)
+    rest = half if width % 2 == 0 else half * np.uint64(0x9E3779B97F4A7C15) + np.append(chars[width // 2 :], np.zeros(min(len(chars), width // 2), np.uint64))
+    base = np.uint64(pow(0x9E3779B97F4A7C15, width - width // 2, 1 << 64))
+    moved = np.append(rest[width // 2 :], np.zeros(min(len(chars), width // 2), np.uint64))
+    return half * base + moved
+
+
 def signatures(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
-    """The least value of each of ``size`` hash functions, h -> (a * h + b) mod 2**32 over mixed halves."""
-    random = np.random.default_rng(7)
-    factors = random.integers(1, 1 << 32, size, np.uint32) | np.uint32(1)
+    """The least value of each of ``size`` permutations, x -> a * x mod 2**32 with a odd, of the mixed hashes of a set."""
+    factors = np.random.default_rng(7).integers(1, 1 << 32, size, np.uint32) | np.uint32(1)
     x = (hashes >> np.uint64(32)).astype(np.uint32)
-    y = hashes.astype(np.uint32)
     made = np.empty((len(first) - 1, size), np.uint32)
-    out, spare = np.empty_like(x), np.empty_like(x)
+    out = np.empty_like(x)
     for k in range(size):
         np.multiply(x, factors[k], out=out)
-        np.right_shift(out, 15, out=spare)
-        np.bitwise_xor(out, spare, out=out)
-        np.multiply(y, factors[-1 - k], out=spare)
-        np.add(out, spare, out=out)
         made[:, k] = np.minimum.reduceat(out, first[:-1])
     return made
 
 
+def _flat(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """handle and bucket, a row for each band of each line."""
+    for batch in batches(read, SLICE):
+        signed = signatures(*shingles(batch.column("line")), BANDS * ROWS)
+        buckets = bucket_numbers(band_hashes(signed, BANDS, ROWS))
+        handles = np.repeat(batch.column("handle").to_numpy(), BANDS)
+        yield pa.record_batch([pa.array(handles), pa.array(buckets.ravel())], names=["handle", "bucket"])
+
+
+def _signed(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with n (different shingles), bands and sketch."""
+    for batch in batches(read, SLICE):
+        hashes, first = shingles(batch.column("line"))
+        signed = signatures(hashes, first, BANDS * ROWS)
+        buckets = bucket_numbers(band_hashes(signed, BANDS, ROWS))
+        lists = pa.ListArray.from_arrays(np.arange(0, buckets.size + 1, BANDS, dtype=np.int32), buckets.ravel())
+        sizes = [len(np.unique(hashes[a:b])) for a, b in zip(first, first[1:], strict=False)]
+        sketch = pa.array([c.tobytes() for c in signed.astype(np.uint8)], pa.binary())
+        columns = [*(batch.column(c) for c in ("handle", "id", "line")), pa.array(sizes, pa.int64()), lists, sketch]
+        yield pa.record_batch(columns, names=["handle", "id", "line", "n", "bands", "sketch"])
+
+
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, version (a hash of the text), at (from 0) and line of every line of every row."""
     version = F.xxhash64(text).alias("version")
@@ -85,58 +111,74 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
     lines = _lines(docs, key, text).filter(_compared(least))
     distinct = settle(lines.groupBy("line").agg(F.count("*").alias("times")).withColumns({"id": _name(F.col("line")), "handle": F.xxhash64("line")}))
 
-    def banded(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(read, 1 << 20):
-            hashes, first = shingles(batch.column("line"))
-            signed = signatures(hashes, first, BANDS * ROWS)
-            made, sketch = band_hashes(signed, BANDS, ROWS), [c.tobytes() for c in signed.astype(np.uint8)]
-            lists = pa.ListArray.from_arrays(np.arange(0, made.size + 1, BANDS, dtype=np.int32), made.ravel())
-            yield pa.record_batch([batch.column("id"), batch.column("handle"), pa.array(np.diff(first)), lists, pa.array(sketch, pa.binary())], names=["id", "handle", "n", "bands", "sketch"])
-
-    classes = distinct.select("id", "handle", "line").mapInArrow(banded, "id binary, handle long, n long, bands array<long>, sketch binary")
-
     def fetch(handles: DataFrame) -> DataFrame:
         found = distinct.select("handle", "id", "line").filter(likely(handles, "handle"))
-        return found.join(handles, "handle", "left_semi")
+        signed = "handle long, id binary, line string, n long, bands array<long>, sketch binary"
+        return found.join(handles, "handle", "left_semi").mapInArrow(_signed, signed)
 
-    roots = similar(classes, fetch, "line", _sets, percent)
+    banded = distinct.select("handle", "line").mapInArrow(_flat, "handle long, bucket long")
+    roots = similar(banded, fetch, "line", _Sets, percent)
     # lines that occur once and resemble no other need no more looking at
     joined = distinct.select("id", "times").join(roots, "id", "left")
     doubtful = settle(joined.filter("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root")))
     places = lines.select("key", "version", "at", _name(F.col("line")).alias("id"))
     placed = settle(places.join(doubtful, "id"))
-    kept = placed.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "version", "at")).alias("kept"))
+    kept = placed.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "version", "at")).alias("kept"), F.count("*").alias("many"))
+    kept = settle(kept.withColumnRenamed("root", "group"))
+    total = kept.agg(F.sum("many")).first()[0] or 0
     # keys may be null or repeat with other texts: a row goes by its key and a hash of its text
     same = F.col("key").eqNullSafe(F.col("kept.key")) & (F.col("version") == F.col("kept.version"))
     stays = same & (F.col("at") == F.col("kept.at"))
-    return placed.join(kept, "root").filter(~stays).select("key", "version", "at", F.col("kept.key").alias("kept_key"), F.col("kept.at").alias("kept_at"))
+    found = join_by_weight(placed, kept, placed["root"] == kept["group"], "many", total)
+    return found.filter(~stays).select("key", "version", "at", F.col("kept.key").alias("kept_key"), F.col("kept.at").alias("kept_at"))
+
+
+class _Sets(Sequence):
+    """The shingle sets of lines, each sorted when it is asked for."""
+
+    def __init__(self, lines: pa.Array) -> None:
+        self.hashes, self.first = shingles(lines)
+        self.made: dict[int, np.ndarray] = {}
 
+    def __len__(self) -> int:
+        return len(self.first) - 1
 
-def _sets(column: pa.Array) -> list[np.ndarray]:
-    hashes, first = shingles(column)
-    return [np.unique(hashes[a:b]) for a, b in zip(first, first[1:], strict=False)]
+    def __getitem__(self, k: int) -> np.ndarray:
+        if not 0 <= k < len(self):
+            raise IndexError(k)
+        if k not in self.made:
+            self.made[k] = np.unique(self.hashes[self.first[k] : self.first[k + 1]])
+        return self.made[k]
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
-    """All columns of ``docs`` with the lines that stay in ``text``, plus ``_lines_removed`` (their number).
+    """All columns of ``docs`` with the lines that stay in ``text``, plus ``_lines_removed`` (the number of the others).
 
     Lines end at line feeds. Lines of white space, and those of fewer than ``least`` characters, blank ends aside, always stay. Of each component
     of lines whose shingle sets have 100 * intersection >= ``percent`` * union the first line stays, by key (null last)
     and position. Rows that repeat in key and text keep their lines as one row does; rows that share a key, or have none,
     with other texts are rows of their own, in the order of a hash of their texts. Null texts stay null, empty ones empty.
+    Other columns may have any name; one called ``_lines_removed`` is replaced.
     """
-    gone = removals(docs, key, text, percent, least).groupBy("key", "version").agg(F.collect_set("at").alias("_gone"))
-    gone = gone.select(F.col("key").alias("_key"), F.col("version").alias("_version"), "_gone")
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_version"))
-    joined = docs.join(gone, same, "left").drop("_key", "_version")
-    lines = F.split(F.col(text), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    left = rebuilt(docs, key, text, percent, least)
+    columns = [F.col("body").alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns if c != "_lines_removed"]
+    return left.select(*columns, F.col("removed").alias("_lines_removed"))
+
+
+def rebuilt(docs: DataFrame, key: str, text: str, percent: int = 80, least: int = LEAST) -> DataFrame:
+    """doc (all columns of a row), body (its text with the lines that stay) and removed (the number of the others)."""
+    gone = removals(docs, key, text, percent, least).groupBy(F.col("key").alias("gone_key"), F.col("version").alias("gone_version"))
+    gone = gone.agg(F.collect_set("at").alias("gone"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(key).alias("key"), F.col(text).alias("text"))
+    same = F.col("key").eqNullSafe(F.col("gone_key")) & (F.xxhash64("text") == F.col("gone_version"))
+    joined = whole.join(gone, same, "left")
+    lines = F.split("text", "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     # the array of one array splits the text once, not once a line
     picked = F.transform(F.array(lines), lambda own: F.transform(left, lambda at: F.get(own, at)))
-    rebuilt = F.array_join(picked[0], "\n")
-    some = F.col("_gone").isNotNull() & F.col(text).isNotNull()
-    columns = [F.when(some, rebuilt).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in docs.columns]
-    return joined.select(*columns, F.when(some, F.size("_gone")).otherwise(0).alias("_lines_removed"))
+    some = F.col("gone").isNotNull() & F.col("text").isNotNull()
+    body = F.when(some, F.array_join(picked[0], "\n")).otherwise(F.col("text"))
+    return joined.select("doc", body.alias("body"), F.when(some, F.size("gone")).otherwise(0).alias("removed"))
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:

@@ -2,31 +2,48 @@
 
 Sets that agree in a band are candidates. In each bucket every set is first held against one leader, so that a bucket of
 any size gives no more pairs than it has sets; sets that are linked with the same leader need no comparing. Buckets that
-hold others, too, then are cut into blocks of bounded size, and cells of one or two blocks compare what
-is apart in memory: first the sketches of the signatures, then the whole sets. A cell writes only links that connect
-something, not pairs. So each link that could change the components is found, and all are confirmed on whole sets.
+hold others, too, then are compared in memory, cell by cell: first the sketches of the signatures, then the whole sets.
+Sets with the most frequent root meet only those with other roots. A bucket with very many others is dealt anew by the
+rarest elements of its sets, of which linked sets share one, where that takes fewer copies: sets which have only what all
+have in common then never meet. A cell writes only links that connect something, not pairs. So each link that could
+change the components is found, and all are confirmed on whole sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from wardloom.llm.common import batches, settle
+from wardloom.llm.common import batches, mix64, settle
 from wardloom.llm.components import components
 
-#: Sets of a block.
-BLOCK = 512
+#: Sets of a block; copies of a set, for as many cells, up to which a bucket is compared without looking for another way.
+BLOCK, COPIES = 512, 16
+#: The last bits of a bucket's number say of which band it is.
+BAND_BITS = 6
+#: Pairs of a cell whose sketches are compared at once.
+AT_ONCE = 1 << 12
 
-Sets = Callable[[pa.Array], list[np.ndarray]]
+Sets = Callable[[pa.Array], Sequence[np.ndarray]]
+
+
+def bucket_numbers(band_hashes: np.ndarray) -> np.ndarray:
+    """The buckets of sets, a column for each band, from the hashes of their bands."""
+    bands = np.arange(band_hashes.shape[1], dtype=np.uint64)
+    mixed = mix64(band_hashes.view(np.uint64) + (bands + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    low = np.uint64((1 << BAND_BITS) - 1)
+    return ((mixed & ~low) | bands).view(np.int64)
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    common = len(np.intersect1d(x, y, True))
+    if not len(x) or not len(y):
+        return False
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
@@ -36,7 +53,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, data: str, unpack: Sets, perce
     right = sets.select(F.col("handle").alias("b"), F.col("id").alias("id_b"), F.col(data).alias("set_b"))
 
     def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(read):
+        for batch in batches(read, 1 << 19):
             both = zip(unpack(batch.column("set_a")), unpack(batch.column("set_b")), strict=True)
             keep = pa.array([_linked(x, y, percent) for x, y in both], pa.bool_())
             yield pa.record_batch([batch.column("id_a"), batch.column("id_b")], names=["id_a", "id_b"]).filter(keep)
@@ -45,92 +62,199 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, data: str, unpack: Sets, perce
     return joined.mapInArrow(run, "id_a binary, id_b binary")
 
 
-def similar(classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], data: str, unpack: Sets, percent: int = 80) -> DataFrame:
-    """id, root of the classes that are linked to others, directly or through others.
+def _shared(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket, handle and leader (the least handle) of the sets of buckets that hold several; rows come in order."""
+
+    run_bucket, run_leader, run_size = None, None, 0
+    for batch in read:
+        bucket, handle = batch.column("bucket").to_numpy(), batch.column("handle").to_numpy()
+        if not len(bucket):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        sizes = np.diff(np.append(starts, len(bucket)))
+        leader = np.repeat(handle[starts], sizes)
+        keep = np.repeat(sizes > 1, sizes)
+        keep[starts[-1] :] = False  # the last run may go on in the next batch
+        first_end = int(sizes[0])
+        extra: list[tuple[int, int, int]] = []
+        if run_bucket == bucket[0]:
+            leader[:first_end] = run_leader
+            keep[:first_end] = True
+            if run_size == 1:
+                extra.append((run_bucket, run_leader, run_leader))
+        # the last run: rows beyond the first of it are known to share their bucket
+        if len(starts) > 1 or run_bucket != bucket[0]:
+            run_bucket, run_leader, run_size = int(bucket[-1]), int(handle[starts[-1]]), int(sizes[-1])
+            if run_size > 1:
+                keep[starts[-1] :] = True
+        else:
+            run_size += first_end
+        columns = [x[keep] for x in (bucket, handle, leader)]
+        if extra:
+            columns = [np.append(c, v) for c, v in zip(columns, extra[0], strict=True)]
+        if len(columns[0]):
+            yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["bucket", "handle", "leader"])
 
-    ``classes``: id (binary, distinct), handle (long, a hash of it), n (size of the set), bands (array of long) and sketch
-    (binary, the last byte of each coordinate of the signature; all are of one length). ``fetch`` gives handle, id and
-    ``data`` for a table of handles; ``unpack`` turns a column of ``data`` into sorted arrays of distinct values.
+
+def similar(banded: DataFrame, fetch: Callable[[DataFrame], DataFrame], data: str, unpack: Sets, percent: int = 80) -> DataFrame:
+    """id, root of the sets that are linked to others, directly or through others.
+
+    ``banded``: handle (long, a hash of a set's id) and bucket, a row for each band; see ``bucket_numbers``. ``fetch``
+    gives, for a table of handles, handle, id (binary, distinct), n (size of the set), bands (its buckets), sketch (binary,
+    the last byte of each coordinate of the signature; all are of one length) and ``data``; ``unpack`` turns a column of ``data``
+    into sorted arrays of distinct values.
     """
-    banded = classes.select("handle", F.posexplode("bands").alias("band", "hash"))
-    banded = banded.select("handle", "band", F.xxhash64("band", "hash").alias("bucket"))
-    # both uses read the same columns of one shuffle
-    banded = banded.repartition("bucket")
-    ends = (F.min("handle").alias("leader"), F.max("handle").alias("last"), F.max("band").alias("top"))
-    buckets = banded.groupBy("bucket").agg(*ends).filter("leader < last AND top >= 0")
-    crowded = settle(banded.join(buckets, "bucket").select("bucket", "band", "handle", "leader"))
+    dealt = banded.select("bucket", "handle").repartition("bucket").sortWithinPartitions("bucket", "handle")
+    crowded = settle(dealt.mapInArrow(_shared, "bucket long, handle long, leader long"))
     stars = crowded.filter("handle <> leader").select(F.col("handle").alias("a"), F.col("leader").alias("b")).distinct()
     sets = settle(fetch(crowded.select("handle").distinct()))
     links = settle(_confirmed(stars, sets, data, unpack, percent))
 
     # sets that are linked with one leader need no comparing with each other
     leaders = links.groupBy(F.col("id_a").alias("id")).agg(F.min("id_b").alias("root"))
-    named = sets.select("handle", "id").join(leaders, "id", "left").select("handle", F.coalesce("root", "id").alias("root"))
-    members = crowded.select("bucket", "band", "handle").join(named, "handle")
-    mixed = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("crowd"))
-    blocks = mixed.filter("low < high").select("bucket", F.ceil(F.col("crowd") / BLOCK).cast("int").alias("blocks"))
-    side = F.pmod(F.xxhash64("handle", "bucket"), F.col("blocks")).cast("int").alias("side")
-    apart = members.join(blocks, "bucket").select("bucket", "band", "handle", "root", "blocks", side)
-    found = settle(_apart(apart, classes, sets, data, unpack, percent))
+    named = sets.select("handle", "id").join(leaders, "id", "left").select("handle", F.xxhash64(F.coalesce("root", "id")).alias("root"))
+    members = crowded.select("bucket", "handle").join(named, "handle")
+    mixed = _mixed(members.select("bucket", "root"), "bucket")
+    apart = settle(members.join(mixed, "bucket").withColumn("meeting", F.col("bucket")))
+    many = F.ceil(F.col("others") / BLOCK) + F.ceil(F.col("top") / BLOCK) > COPIES
+    meetings = apart.select("bucket", "handle", "root", "meeting", "main", "top", "others")
+    large = apart.filter(many)
+    if not large.isEmpty():
+        rare = settle(_by_rare_elements(large, sets, data, unpack, percent))
+        # the copies that cells take either way
+        cost = _copies(rare).groupBy("bucket").agg(F.sum("copies").alias("cost"))
+        whole = _copies(large).groupBy("bucket").agg(F.sum("copies").alias("whole"))
+        # a bucket of which no elements meet in sets with different roots has no links left to find
+        dealt_anew = settle(whole.join(cost, "bucket", "left").filter(F.coalesce("cost", F.lit(0)) < F.col("whole")).select("bucket"))
+        meetings = meetings.join(dealt_anew, "bucket", "left_anti").unionByName(rare.join(dealt_anew, "bucket", "left_semi"))
+    found = settle(_compared(meetings, sets, data, unpack, percent))
     return components(links.unionByName(found))
 
 
-def _apart(apart: DataFrame, classes: DataFrame, sets: DataFrame, data: str, unpack: Sets, percent: int) -> DataFrame:
-    """id_a, id_b: links between sets of a bucket with different roots, enough of them to connect what is linked."""
-    # a block meets every block of its bucket, itself included, in one cell each
-    met = apart.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met"))
-    cell = F.xxhash64("bucket", F.least("side", "met"), F.greatest("side", "met")).alias("cell")
-    cells = met.select("handle", "band", "root", "side", cell)
-    filled = cells.join(classes.select("handle", "n", "bands", "sketch"), "handle").join(sets, "handle")
-    dealt = filled.repartition("cell").sortWithinPartitions("cell")
-
-    def compare(rows: pa.Table) -> tuple[list[bytes], list[bytes]]:
-        ids = rows.column("id").to_pylist()
-        _, label = np.unique(np.array(rows.column("root").to_pylist(), object), return_inverse=True)
-        n, side = (rows.column(c).to_numpy() for c in ("n", "side"))
-        band, single = rows.column("band")[0].as_py(), (side == side[0]).all()
-        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-        bands = np.array(rows.column("bands").to_pylist(), np.int64)
-        p, size = percent / 100, max(1, sketch.shape[1])
-        least = size * (p - 4 * np.sqrt(p * (1 - p) / size))  # a pair at the similarity falls short once in 30,000 times
-        values: list[np.ndarray] | None = None
-        a, b = [], []
-        for k in range(len(ids) - 1):
-            rest = slice(k + 1, None)
-            likely = (label[rest] != label[k]) & (100 * n[rest] >= percent * n[k]) & (100 * n[k] >= percent * n[rest])
+def _mixed(members: DataFrame, meeting: str) -> DataFrame:
+    """For each meeting of several roots: main (its most frequent root), top (the rows of that) and others (the rest)."""
+    roots = members.groupBy(meeting, "root").agg(F.count("*").alias("rows"))
+    sizes = roots.groupBy(meeting).agg(F.max_by("root", "rows").alias("main"), F.max("rows").alias("top"), F.sum("rows").alias("all"))
+    return sizes.filter("top < all").select(meeting, "main", "top", (F.col("all") - F.col("top")).alias("others"))
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """With is_main and the number of blocks of either kind of root."""
+    blocks = {f"{c}_blocks": F.ceil(F.col(c) / BLOCK).cast("int") for c in ("top", "others")}
+    return rows.withColumns({"is_main": F.col("root") == F.col("main"), **blocks})
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    copies = F.col("others_blocks") + F.when(F.col("is_main"), 0).otherwise(F.col("top_blocks"))
+    return _blocks(rows).select("bucket", copies.alias("copies"))
+
+
+def _by_rare_elements(large: DataFrame, sets: DataFrame, data: str, unpack: Sets, percent: int) -> DataFrame:
+    """bucket, handle, root, meeting, main, top, others: where the sets of large buckets meet.
+
+    In the order of their frequency in the bucket, linked sets of n elements share one among the first
+    n - ceil(percent * n / 100) + 1 of each.
+    """
+
+    def spread(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(read, 1 << 20):
+            values = [x.view(np.int64) for x in unpack(batch.column(data))]
+            sizes = [len(x) for x in values]
+            at = pa.array(np.repeat(np.arange(len(values)), sizes))
+            columns = [pa.array(np.concatenate(values)) if values else pa.array([], pa.int64()), *(batch.column(c).take(at) for c in ("bucket", "handle", "root"))]
+            yield pa.record_batch([*columns, pa.array(np.repeat(np.array(sizes, np.int64), sizes))], names=["element", "bucket", "handle", "root", "n"])
+
+    filled = large.select("bucket", "handle", "root").join(sets.select("handle", data), "handle")
+    elements = settle(filled.mapInArrow(spread, "element long, bucket long, handle long, root long, n long"))
+    often = elements.groupBy("bucket", "element").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("bucket", "handle").orderBy("often", "element")
+    ranked = elements.join(often, ["bucket", "element"]).withColumn("place", F.row_number().over(order))
+    first = ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    met = settle(first.select("bucket", "handle", "root", F.xxhash64("bucket", "element").alias("meeting")))
+    return met.join(_mixed(met.select("meeting", "root"), "meeting"), "meeting").select(
+        "bucket", "handle", "root", "meeting", "main", "top", "others"
+    )
+
+
+def _compared(meetings: DataFrame, sets: DataFrame, data: str, unpack: Sets, percent: int) -> DataFrame:
+    """id_a, id_b: links between sets that meet and have different roots, enough of them to connect what is linked."""
+    # blocks of other roots meet each other, themselves included, and those of the main root, in one cell each;
+    # the latter have numbers below zero
+    blocked = _blocks(meetings)
+    own = F.when(F.col("is_main"), F.col("top_blocks")).otherwise(F.col("others_blocks"))
+    place = F.pmod(F.xxhash64("handle", "meeting"), own).cast("int")
+    side = F.when(F.col("is_main"), -1 - place).otherwise(place).alias("side")
+    last = F.col("others_blocks") - 1
+    met = F.when(F.col("is_main"), F.sequence(F.lit(0), last)).otherwise(F.sequence(-F.col("top_blocks"), last))
+    each = blocked.select("handle", "bucket", "root", "meeting", side, F.explode(met).alias("met"))
+    cell = F.xxhash64("meeting", F.least("side", "met"), F.greatest("side", "met")).alias("cell")
+    cells = each.select("handle", "bucket", "root", "side", cell)
+    dealt = cells.join(sets, "handle").repartition("cell").sortWithinPartitions("cell")
+
+    def compare(ids: pa.Array, at: int, values: Callable[[int], np.ndarray], label: np.ndarray, n: np.ndarray, side: np.ndarray, bucket: int, bands: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+        rows, size = sketch.shape
+        p = percent / 100
+        least = size * (p - 4 * np.sqrt(p * (1 - p) / max(size, 1)))  # a pair at the similarity falls short once in 30,000 times
+        single = (side == side[0]).all()
+        step = max(1, AT_ONCE // rows)
+        for start in range(0, rows, step):
+            mine = np.arange(start, min(start + step, rows))
+            fit = (label[mine, None] != label[None, :]) & (100 * n[mine, None] >= percent * n[None, :]) & (100 * n[None, :] >= percent * n[mine, None])
+            fit &= mine[:, None] < np.arange(rows)[None, :]
             if not single:
-                likely &= side[rest] != side[k]
-            at = k + 1 + np.flatnonzero(likely)
-            if not len(at):
-                continue
-            same = (sketch[at] == sketch[k]).sum(1)
-            at = at[np.argsort(-same, kind="stable")][: (same >= least).sum()]
-            # the first band that two sets share is where they are compared
-            at = at[(bands[at] == bands[k]).argmax(1) == band]
-            for other in at:
-                if label[other] == label[k]:
-                    continue
-                values = values or unpack(rows.column(data).combine_chunks())
-                if _linked(values[k], values[other], percent):
-                    label[label == label[other]] = label[k]
-                    a.append(ids[k])
-                    b.append(ids[other])
-        return a, b
+                fit &= side[mine, None] != side[None, :]
+            i, j = np.nonzero(fit)
+            i = mine[i]
+            same = (sketch[i] == sketch[j]).sum(1)
+            likely = np.flatnonzero(same >= least)
+            likely = likely[np.argsort(-same[likely], kind="stable")]
+            i, j = i[likely], j[likely]
+            # the first bucket that two sets share is where they are compared
+            agree = bands[i] == bands[j]
+            here = bands[i, agree.argmax(1)] == bucket if len(i) else np.zeros(0, bool)
+            for a, b in zip(i[here].tolist(), j[here].tolist(), strict=True):
+                if label[a] != label[b] and _linked(values(at + a), values(at + b), percent):
+                    label[label == label[b]] = label[a]
+                    yield ids[at + a].as_py(), ids[at + b].as_py()
 
     def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def said(rows: pa.Table) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(v, pa.binary()) for v in compare(rows)], names=["id_a", "id_b"])
+        def said(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch, int]:
+            """Links of the whole cells of ``rows``, and where the last one, which may go on, begins."""
+            rows = rows.combine_chunks()
+            column = {c: rows.column(c).chunk(0) for c in rows.column_names}
+            cell, label, n, side, bucket = (column[c].to_numpy(zero_copy_only=False) for c in ("cell", "root", "n", "side", "bucket"))
+            starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            ends = np.append(starts[1:], len(cell))
+            if not last:
+                starts, ends = starts[:-1], ends[:-1]
+            sketch = np.frombuffer(b"".join(column["sketch"].to_pylist()), np.uint8).reshape(len(cell), -1)
+            bands = column["bands"].flatten().to_numpy().reshape(len(cell), -1)
+            found: list[tuple[bytes, bytes]] = []
+            label = label.copy()
+            unpacked: list[Sequence[np.ndarray]] = []
+
+            def values(k: int) -> np.ndarray:
+                if not unpacked:
+                    unpacked.append(unpack(column[data]))
+                return unpacked[0][k]
+
+            for x, y in zip(starts.tolist(), ends.tolist(), strict=True):
+                if y - x > 1 and not (label[x:y] == label[x]).all():
+                    found.extend(compare(column["id"], x, values, label[x:y], n[x:y], side[x:y], bucket[x], bands[x:y], sketch[x:y]))
+            made = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+            return pa.record_batch(made, names=["id_a", "id_b"]), int(ends[-1]) if len(ends) else 0
 
         held: pa.Table | None = None
-        for batch in batches(read):
+        for batch in batches(read, 2 << 20):
             rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([held, rows]) if held else rows
-            cell = rows.column("cell").to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-            for x, y in zip(starts, starts[1:], strict=False):
-                yield said(rows.slice(x, y - x))
-            held = rows.slice(starts[-1])
-        if held:
-            yield said(held)
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            if not rows.num_rows:
+                continue
+            links, upto = said(rows, False)
+            if links.num_rows:
+                yield links
+            held = rows.slice(upto)
+        if held is not None and held.num_rows:
+            yield said(held, True)[0]
 
     return dealt.mapInArrow(run, "id_a binary, id_b binary")

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.llm.common import batches, mix64, settle, shingle_hashes, utf8, word_hashes
-from wardloom.llm.lsh import similar
+from wardloom.llm.lsh import bucket_numbers, similar
 
-#: Bands and rows: at a similarity of 0.8, one pair in 580 shares no band; at 0.85, one in 12,000.
-BANDS, ROWS = 16, 5
+#: Bands and rows: at a similarity of 0.8, one pair in 300,000 shares no band.
+BANDS, ROWS = 32, 5
 #: Coordinates; those beyond the bands only sharpen the comparison of sketches.
 COORDINATES = 256
+#: Bytes of texts that are hashed at once: what comes of them stays in the cache of a core.
+SLICE = 1 << 19
 
 
 def scatter(hashes: np.ndarray) -> np.ndarray:
@@ -70,10 +72,10 @@ def _name(values: np.ndarray) -> bytes:
 
 
 def shingled(docs: DataFrame, key: str, text: str, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """key, n (shingles), id (of the set), bands and sketch of each row; rows without words have no id, bands and sketch."""
+    """key, n (shingles), id (of the set), bands (their buckets) and sketch of each row; without words: no id, bands and sketch."""
 
     def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(read, 1 << 20):
+        for batch in batches(read, SLICE):
             hashes, first = shingle_hashes(*word_hashes(*utf8(batch.column("text"))), width)
             sets = [np.unique(hashes[a:b]) for a, b in zip(first, first[1:], strict=False)]
             sizes = np.array([len(s) for s in sets], np.int64)
@@ -83,7 +85,7 @@ def shingled(docs: DataFrame, key: str, text: str, width: int, bands: int = BAND
             if len(full):
                 ends = np.concatenate([[0], np.cumsum(sizes[full])])
                 signed = signatures(np.concatenate([sets[k] for k in full]), ends, COORDINATES)
-                for k, h, c in zip(full, band_hashes(signed, bands, rows), signed.astype(np.uint8), strict=True):
+                for k, h, c in zip(full, bucket_numbers(band_hashes(signed, bands, rows)), signed.astype(np.uint8), strict=True):
                     made[k], sketch[k] = h, c.tobytes()
             names = [_name(s) if len(s) else None for s in sets]
             yield pa.record_batch(
@@ -115,14 +117,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             yield pa.record_batch(columns, names=["id", "set"])
 
     def fetch(handles: DataFrame) -> DataFrame:
-        wanted = classes.join(handles, "handle", "left_semi").select("id", "handle", "least")
+        wanted = classes.join(handles, "handle", "left_semi")
         texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         found = texts.join(wanted.select("least").distinct(), F.col("key").eqNullSafe(F.col("least")), "left_semi")
         sets = found.select("text").mapInArrow(named, "id binary, set binary")
         # a key that comes with several texts finds sets that nobody asked for, and equal ones
-        return sets.join(wanted.select("id", "handle"), "id").dropDuplicates(["id"]).select("handle", "id", "set")
+        return sets.dropDuplicates(["id"]).join(wanted.drop("least"), "id")
 
-    roots = similar(classes, fetch, "set", _unpacked, percent)
+    roots = similar(classes.select("handle", F.explode("bands").alias("bucket")), fetch, "set", _unpacked, percent)
     joined = classes.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = joined.groupBy("root").agg(F.min("least").alias("component"))
     found = settle(joined.join(least, "root").select("id", "component"))
