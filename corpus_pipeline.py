@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wardloom.llm import line_dedup, minhash, packing, quality, toxicity
 from wardloom.llm.common import reachable, settle, table, text_scores
@@ -27,26 +26,30 @@ def of_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents with the lines that stay; those of which only blank lines stay go, empty ones stay as they are."""
     reachable(spark)
-    left = line_dedup.deduplicated(docs)
-    emptied = (F.col("_lines_removed") > 0) & ~F.col("text").rlike(line_dedup.INK)
+    left = line_dedup.rebuilt(docs, "doc_id", "text")
+    emptied = (F.col("removed") > 0) & ~F.col("body").rlike(line_dedup.INK)
     kept = left.filter(~F.coalesce(emptied, F.lit(False)))
+    made = {c: F.col("doc").getField(c) for c in docs.columns} | {"text": F.col("body")}
     if "n_chars" in docs.columns:
-        size = F.when(F.col("_lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        kept = kept.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        size = F.when(F.col("removed") > 0, F.length("body")).otherwise(made["n_chars"])
+        made["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(made[c].alias(c) for c in docs.columns))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies, of equal rows one; those without words stay."""
+    """One document of each group of near copies, of equal rows one; those without words stay.
+
+    The document with the smallest id stays, one without an id only where no other has one; of several with that id the
+    first by a hash of the whole row. Columns may have any name.
+    """
     reachable(spark)
-    # ids may repeat with other texts: a row goes by its id and a hash of its text
-    own = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
-    keyed = docs.select(own.alias("_row"), F.col("text").alias("_text"))
-    found = minhash.near_duplicates(keyed, key="_row", text="_text", width=5)
-    kept = found.filter(F.col("_row").eqNullSafe(F.col("component_id"))).select("_row").distinct()
-    joined = docs.withColumn("_own", own).join(kept, F.col("_own").eqNullSafe(F.col("_row")), "left_semi")
-    first = F.row_number().over(Window.partitionBy("_own").orderBy(F.lit(1)))
-    return joined.withColumn("_place", first).filter("_place = 1").select(*docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # ids may be null or repeat with other texts: a row goes by its id and a hash of all its columns
+    own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(*columns).alias("row"))
+    found = minhash.near_duplicates(docs.select(own.alias("own"), "text"), key="own", width=5)
+    kept = found.filter(F.col("own") == F.col("component_id")).select("own").distinct()
+    whole = docs.select(F.struct(*columns).alias("doc"), own.alias("own"))
+    return whole.join(kept, "own", "left_semi").dropDuplicates(["own"]).select("doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
