@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from wardloom.llm import byte_bpe, fingerprint, language_id, line_dedup, minhash, packing, quality, toxicity, url_filter
+from wardloom.llm import byte_bpe, fingerprint, language_id, line_dedup, minhash, packing, quality, sampling, toxicity, url_filter
 from wardloom.llm.common import reachable, shingle_hashes, utf8, word_hashes
 from wardloom.llm.queries import QUERIES
 
@@ -205,6 +205,29 @@ def test_rules_are_filed_by_their_rarest_token():
     }
 
 
+def test_where_a_rule_is_filed_follows_the_counts(spark):
+    urls = ["x://casino.a.com/", "x://casino.b.com/", "x://win.c.com/", "x://m.casino-win.d.com/", "x://e.com/buy-links/1", "x://e.com/links/", "x://e.com/a/buy-links/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    for word, other in (("win", "casino"), ("casino", "win")):
+        more = spark.createDataFrame([(100 + k, f"x://{other}{'.' * (k % 2)}{k % 2}.com/") for k in range(10)], pages.schema)
+        counts = url_filter.token_counts(pages.union(more), "url", url_filter.PATTERN_RULES)
+        index = url_filter.RuleIndex(url_filter.PATTERN_RULES, counts)
+        assert "casino-win." in [r.name for r in index.filed[word]]
+    got = {r.page_id: (r.verdict, r.pattern) for r in url_filter.judge(pages).collect()}
+    assert got == {0: ("allow", None), 1: ("allow", None), 2: ("allow", None), 3: ("block", "casino-win."), 4: ("block", "/buy-links/"), 5: ("allow", None), 6: ("allow", None)}
+
+
+def test_samples_are_the_first_by_hash(spark):
+    rows = [(k, "a" if k % 3 else "b") for k in range(3000)] + [(k, "c") for k in range(5000, 5020)] + [(None, "a"), (7, None)] + [(5, "b")] * 50
+    df = spark.createDataFrame(rows, "id long, label string")
+    got = sampling.sample_keys(df.filter("id <> 5 OR label = 'b'"), "id", "label", 5, 0, 100)
+    hashes = {r.id: r.h for r in df.selectExpr("id", "xxhash64(id) h").collect()}
+    for label, most in (("a", 100), ("b", 100), ("c", 100)):
+        usable = {k for k, x in rows if k is not None and x == label and zlib.crc32(str(k).encode()) % 5 and (k != 5 or label == "b")}
+        assert [k for k, x in got.items() if x == label] == sorted(usable, key=lambda k: hashes[k])[:most] or {k for k, x in got.items() if x == label} == set(sorted(usable, key=lambda k: hashes[k])[:most])
+    assert sampling.sample_keys(df.limit(0), "id", "label", 5, 0, 10) == {}
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

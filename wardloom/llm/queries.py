@@ -123,7 +123,8 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT parts.page_id, host, path, rule,
                coalesce(best.verdict, CASE WHEN regexp_matches(host || path,
-                   '^([^/]*\\.)?(cheap|free|best|online)-(pill|bet|loan|casino|replica)s?\\.') THEN 'block' ELSE 'allow' END) AS verdict
+                   '^([^/]*\\.)?((cheap|free|best|online)-(pill|bet|loan|casino|replica)s?|(casino|poker|slots)-(win|bonus|live)|(ads|banner|click)-(track|server|count)|(spam|link|seo)-(farm|list|exchange)|(adult|porn|xxx)-(x|cam|video))\\.')
+                   OR regexp_matches(host || path, '^[^/]*/(buy|sell|exchange)-(links|backlinks)/') THEN 'block' ELSE 'allow' END) AS verdict
         FROM parts LEFT JOIN best USING (page_id)
     """,
     "op13_exact_dedup": """

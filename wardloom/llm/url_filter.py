@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from itertools import product
 from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
@@ -55,11 +56,20 @@ SITE_RULES = (
     site_rule("allow", "org", "/fr/"),
 )
 
-#: What decides where no site rule fits: hosts that sell in two words, and link lists.
-PATTERN_RULES = tuple(
-    Rule(f"{a}-{b}", rf"^([^/]*\.)?{a}-{b}s?\.", (a,), "block")
-    for a in ("cheap", "free", "best", "online")
-    for b in ("pill", "bet", "loan", "casino", "replica")
+#: What decides where no site rule fits. Hosts that sell in two words, the second perhaps in the plural;
+#: hosts of two words that stand as they are; starts of paths of two words under which links are dealt in.
+SELLING = (("cheap", "free", "best", "online"), ("pill", "bet", "loan", "casino", "replica"))
+HOSTS = (
+    (("casino", "poker", "slots"), ("win", "bonus", "live")),
+    (("ads", "banner", "click"), ("track", "server", "count")),
+    (("spam", "link", "seo"), ("farm", "list", "exchange")),
+    (("adult", "porn", "xxx"), ("x", "cam", "video")),
+)
+PATHS = (("buy", "sell", "exchange"), ("links", "backlinks"))
+PATTERN_RULES = (
+    *(Rule(f"{a}-{b}", rf"^([^/]*\.)?{a}-{b}s?\.", (a,), "block") for a, b in product(*SELLING)),
+    *(Rule(f"{a}-{b}.", rf"^([^/]*\.)?{a}-{b}\.", (a, b), "block") for family in HOSTS for a, b in product(*family)),
+    *(Rule(f"/{a}-{b}/", rf"^[^/]*/{a}-{b}/", (a, b), "block") for a, b in product(*PATHS)),
 )
 
 
@@ -137,7 +147,8 @@ def judge(
     The longest site rule that fits decides and is named in ``rule``. Where none fits, ``rule`` is null; the pattern
     rules decide then, "block" if any blocking one fits and no allowing one does, and "allow" is the rest. ``pattern``
     is the first pattern rule that fits. Null or malformed urls have an empty host and path and are allowed; repeated
-    rows are judged one by one; other columns are not read.
+    rows are judged one by one, urls of any length as a whole; of site rules of one length the last in code-point order
+    decides; an empty table gives an empty one; other columns are not read.
     """
     rules = [*site_rules, *pattern_rules]
     index = RuleIndex(rules, token_counts(pages, url, rules))
