@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from wardloom.llm.common import batches, join_by_weight, likely, settle
 
 #: Keys of a bucket; buckets that the directory starts with at most (beyond, buckets hold more keys); doublings after that.
-CAPACITY, BUCKETS, DOUBLINGS = 1 << 15, 1 << 14, 6
+CAPACITY, BUCKETS, DOUBLINGS = 1 << 9, 1 << 14, 6
 #: Bytes of texts that a task holds to combine equal ones before they are shuffled.
 HELD = 32 << 20
 
