@@ -185,7 +185,7 @@ def half_open_interval(c: Catalog) -> DataFrame:
 def in_list(c: Catalog) -> DataFrame:
     return (
         c["DIAGNOSES"]
-        .filter(F.col("WHO_DIAGNOSIS_CODE").isin(demographics.SMOKING_CODES))
+        .filter(P.one_of("WHO_DIAGNOSIS_CODE", demographics.SMOKING_CODES))
         .select(
             F.col("CONSULTANT_EPISODES_ID").alias("ce_id"),
             F.col("DIAGNOSIS_NUMBER").alias("num"),
@@ -195,11 +195,11 @@ def in_list(c: Catalog) -> DataFrame:
 
 
 def or_like_outer(c: Catalog) -> DataFrame:
-    code = F.col("test_code")
+    direct, panel = P.one_of("test_code", virology.DIRECT_TESTS), P.one_of("test_code", [virology.PANEL_TEST])
     found = S.contains_text("organism", virology.ORGANISM_TEXT, PARAMS.ignore_case)
     return (
         _tests_with_organisms(c)
-        .filter(code.isin(virology.DIRECT_TESTS) | ((code == virology.PANEL_TEST) & found))
+        .filter(direct | (panel & found))
         .select("test_id", "test_code", "organism")
     )
 
