@@ -8,7 +8,7 @@ its group. Pairs of tokens that end together are links, and are counted over the
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from wardloom.llm.common import batches, settle
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: Entries of side a that no text is encoded to.
+SPECIAL = {"<|endoftext|>"}
 #: Characters of a text that are encoded at once, at least, where it can be cut.
 SEGMENT = 1 << 16
 #: Pairs that hold more than one in so many of all links, fewer than so many of them, are sent to all tasks.
@@ -41,16 +43,21 @@ class Tokens:
     """The two tokenizers, and for each of their ids its bytes, its length and its digits."""
 
     def __init__(self, a: str, b: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
+        from tiktoken import Encoding
 
-        self.a = Tokenizer.from_file(a)
-        self.a.encode_special_tokens = True
-        self.b = SentencePieceProcessor(model_file=b)
+        with open(a, encoding="utf-8") as file:
+            entries: dict[str, int] = json.load(file)["model"]["vocab"]
         byte_of = _byte_of()
-        entries = [self.a.id_to_token(k) or "" for k in range(self.a.get_vocab_size())]
-        self.bytes_a = [bytes(byte_of[c] for c in e) if all(c in byte_of for c in e) else e.encode() for e in entries]
+        self.bytes_a = [b""] * (max(entries.values()) + 1)
+        ranks = {}
+        for entry, k in entries.items():
+            if all(c in byte_of for c in entry) and entry not in SPECIAL:
+                self.bytes_a[k] = bytes(byte_of[c] for c in entry)
+                ranks[self.bytes_a[k]] = k
+        # merges are listed in the order of the ids they make, so that the ids are their ranks
+        self.a = Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = SentencePieceProcessor(model_file=b)
         self.bytes_b = [_piece(self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())]
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in made], np.int64) for made in (self.bytes_a, self.bytes_b))
 
@@ -59,10 +66,10 @@ class Tokens:
         a: list[int] = []
         b: list[int] = []
         for part in segments(text):
-            a += self.a.encode(" " + part, add_special_tokens=False).ids
+            a += self.a.encode_ordinary(" " + part)
             b += self.b.encode(part, num_threads=1)
         wanted = b" " + text.encode()
-        if not text or b"".join(map(self.bytes_a.__getitem__, a)) != wanted or b"".join(map(self.bytes_b.__getitem__, b)) != wanted:
+        if not text or self.a.decode_bytes(a) != wanted or b"".join(map(self.bytes_b.__getitem__, b)) != wanted:
             return None
         return np.array(a, np.int64), np.array(b, np.int64)
 
@@ -111,28 +118,24 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
     return last[:m], last[m:]
 
 
-def _digits(ids: np.ndarray, closing: np.ndarray, inner: int, outer: int) -> np.ndarray:
-    """A row of bytes for each id: its decimal digits and a separator, ``outer`` where ``closing``; zeros fill the rest."""
-    out = np.zeros((len(ids), 12), np.uint8)
-    size = np.ones(len(ids), np.int64)
-    for k in range(1, 11):
-        size += ids >= 10**k
-    rest = ids.copy()
-    for k in range(int(size.max(initial=1))):
-        at = np.flatnonzero(size > k)
-        out[at, size[at] - 1 - k] = 48 + rest[at] % 10
-        rest //= 10
-    out[np.arange(len(ids)), size] = np.where(closing, outer, inner)
-    return out
+@cache
+def _spelt(size: int, closing: int, inner: int) -> np.ndarray:
+    """For each id below ``size``, then for each once more, its decimal digits and a separator; zeros fill the rows."""
+    made = [f"{k}{chr(c)}".encode() for c in (inner, closing) for k in range(size)]
+    width = max(map(len, made))
+    return np.frombuffer(b"".join(x.ljust(width, b"\0") for x in made), np.uint8).reshape(2 * size, width)
 
 
-def group_text(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: ids of each group, which go by the ends of their last tokens."""
+def group_text(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, size: int) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: ids, all below ``size``, of each group, which go by the ends of their last tokens."""
     closing_a = np.append(last_a[1:] != last_a[:-1], True)
     closing_b = np.append(last_b[1:] != last_b[:-1], True)
-    rows = np.concatenate([_digits(a, closing_a, ord(","), ord("|")), _digits(b, closing_b, ord(","), ord(";"))])
-    order = np.argsort(np.concatenate([2 * last_a, 2 * last_b + 1]), kind="stable")
-    flat = rows[order].ravel()
+    spelt_a, spelt_b = _spelt(size, ord("|"), ord(",")), _spelt(size, ord(";"), ord(","))
+    rows = np.empty((len(a) + len(b), spelt_a.shape[1]), np.uint8)
+    # a token comes after those of its side and those of the other one in groups before, or up to its own
+    rows[np.arange(len(a)) + np.searchsorted(last_b, last_a)] = spelt_a[a + size * closing_a]
+    rows[np.arange(len(b)) + np.searchsorted(last_a, last_b, "right")] = spelt_b[b + size * closing_b]
+    flat = rows.ravel()
     return flat[flat > 0][:-1].tobytes()
 
 
@@ -141,7 +144,7 @@ def aligned(docs: DataFrame, key: str, text: str, a_file: str, b_file: str) -> D
 
     def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokens(a_file, b_file)
-        width = len(both.bytes_b)
+        width, most = len(both.bytes_b), max(len(both.bytes_a), len(both.bytes_b))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         names = ["n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"]
         for batch in batches(read, 1 << 20):
@@ -156,7 +159,7 @@ def aligned(docs: DataFrame, key: str, text: str, a_file: str, b_file: str) -> D
                     last_a, last_b = terminals(ends_a, ends_b)
                     at_a, at_b = np.flatnonzero(ends_a == last_a), np.flatnonzero(ends_b == last_b)
                     pairs, times = np.unique(a[at_a] * width + b[at_b], return_counts=True)
-                    digest = hashlib.sha256(group_text(a, b, last_a, last_b)).hexdigest()
+                    digest = hashlib.sha256(group_text(a, b, last_a, last_b, most)).hexdigest()
                     values = (len(a), len(b), len(at_a), digest, pairs, times)
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
