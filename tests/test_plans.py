@@ -74,6 +74,22 @@ def test_rows_are_read_once(spark, name, table):
     assert sum("FileScan" in x and f"{table}.parquet" in x for x in ran.splitlines()) == 1
 
 
+def test_movements_are_shuffled_once_where_nothing_is_broadcast(spark):
+    """The join with the next events takes the shuffle they are made from."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        df = QUERIES["view_movement"](spark, SMALL)
+        df.collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    ran = plan(df).split("== Initial Plan ==")[0]
+    assert sum("FileScan" in x and "lineitem.parquet" in x for x in ran.splitlines()) == 1
+    assert "SortAggregate" not in ran
+
+
 def test_scans_read_few_columns_and_filter_early(spark):
     text = plan(QUERIES["view_demographics_filtered"](spark, SMALL))
     (scan,) = [x for x in text.splitlines() if "FileScan" in x and "orders" in x]

@@ -3,7 +3,8 @@
 Rows are dealt once, by group and slice of time, so a group of any size is spread over many tasks.  What a slice needs
 to know of the others, the number of rows before it or the first event after it, is aggregated per slice from the same
 dealt rows and handed back as one small row.  Both uses read all columns, so Spark runs their shuffle, and the plan
-below it, once.  Everything is one lazy plan.
+below it, once.  Rows that meet the values of their next events are dealt by group and time; only the different values
+go to slices.  Everything is one lazy plan.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 #: length of a slice; a century has under a million, as many small rows as one task reads for a group
 SLICE = "HOUR"
@@ -78,23 +79,45 @@ def with_next_events(
 ) -> DataFrame:
     """Each row once for every row at the next later time of its group, with that time and that row's ``value``.
 
-    Rows without a time, and those at the last time of their group, are left out.  Of the rows at one time only the
-    different values travel, with their number.
+    Rows without a time, and those at the last time of their group, are left out.  Rows are dealt by group and time, once.
+    Of the rows at one time only the different values travel, with their number: to their slice, whose earlier times they
+    follow, and from there, where they are a slice's first, to the first ones of the group's other slices.
     """
-    dealt = _dealt(rows.filter(F.col(time).isNotNull()), group, time, every)
-    kept = [c for c in dealt.columns if c != "_at"]
-    values = dealt.groupBy("_at", time, value).agg(F.count(F.lit(1)).alias("_n"), F.max(F.hash(*kept)).alias("_seen"))
-    event = F.struct(F.col(time).alias("time"), F.collect_list(F.struct(F.col(value).alias("value"), "_n")).alias("values"))
-    events = values.filter("_seen IS NOT NULL").groupBy("_at", F.col(time).alias("_time")).agg(event.alias("_event"))
-
-    firsts = events.groupBy("_at").agg(F.min_by("_event", "_time").alias("_first"))
-    following = F.lead("_first").over(Window.partitionBy("_at.whole").orderBy("_at.slice"))
-    after = firsts.select("_at", following.alias("_after"))
-    within = F.lead("_event").over(Window.partitionBy("_at").orderBy("_time"))
-    upcoming = events.select("_at", "_time", within.alias("_within")).join(after, "_at")
-    upcoming = upcoming.select("_at", "_time", F.coalesce("_within", "_after").alias("_next")).filter("_next IS NOT NULL")
-
-    found = dealt.join(upcoming, (dealt["_at"] == upcoming["_at"]) & (dealt[time] == upcoming["_time"]))
-    each = found.select(*rows.columns, F.col("_next.time").alias(next_time), F.explode("_next.values").alias("_one"))
-    again = each.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_one._n"))))
-    return again.select(*rows.columns, next_time, F.col("_one.value").alias(next_value))
+    kept = rows.filter(F.col(time).isNotNull()).withColumn("_of", F.struct(*group))
+    # a hash comes first in each key, as it decides nearly all comparisons
+    dealt = kept.withColumn("_hash", F.xxhash64("_of", time)).repartition("_hash", "_of", time)
+    values = dealt.groupBy("_hash", "_of", time, value).agg(F.count(F.lit(1)).alias("_n"), F.max(F.hash(*rows.columns)).alias("_seen"))
+    values = values.filter("_seen IS NOT NULL").select(
+        "_of", F.col(time).alias("_time"), F.col(value).alias("_value"), "_n", F.date_trunc(every, time).alias("_slice")
+    )
+
+    last = F.max("_time").over(_ordered("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    sliced = _with_hash(values, "_slice").withColumn("_last", last)
+    within = _with_previous(sliced, "_time", "_slice", "_within")
+    # values that have found their time stay with their slice, the others meet those of their group
+    apart = within.withColumn("_own", F.when(F.col("_within").isNotNull(), F.col("_slice")))
+    found = _with_previous(_with_hash(apart, "_own"), "_last", "_own", "_before")
+    found = found.withColumn("_follows", F.coalesce("_within", "_before")).filter("_follows IS NOT NULL")
+    upcoming = found.select(F.xxhash64("_of", "_follows").alias("_hash"), "_of", "_follows", "_time", "_value", "_n")
+
+    same = (dealt["_hash"] == upcoming["_hash"]) & (dealt["_of"] == upcoming["_of"]) & (dealt[time] == upcoming["_follows"])
+    each = dealt.join(upcoming, same).select(*rows.columns, F.col("_time").alias(next_time), "_value", "_n")
+    again = F.explode(F.array_repeat("_value", F.col("_n").cast("int")))
+    return each.select(*rows.columns, next_time, again.alias(next_value))
+
+
+def _with_hash(events: DataFrame, part: str) -> DataFrame:
+    return events.withColumn("_part", F.xxhash64("_of", part))
+
+
+def _ordered(part: str) -> WindowSpec:
+    return Window.partitionBy("_part", "_of", part).orderBy("_time")
+
+
+def _with_previous(events: DataFrame, carried: str, part: str, name: str) -> DataFrame:
+    """With ``carried`` of the next earlier time in the same part of a group; NULL at the first time."""
+    order = _ordered(part)
+    later = F.lag("_time").over(order) < F.col("_time")
+    stepped = events.withColumn("_step", F.when(later, F.lag(carried).over(order)))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return stepped.withColumn(name, F.last("_step", ignorenulls=True).over(upto)).drop("_step")
