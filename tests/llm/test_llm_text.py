@@ -317,3 +317,17 @@ def test_queries_keep_their_columns(spark):
         table = "pages" if "url" in name else "documents"
         rows = spark.read.parquet(f"{SMALL}/{table}.parquet").count()
         assert df.count() >= rows if name == "op2_packing" else df.count() == rows
+
+
+def test_toxicity_collects_one_kind_of_texts_at_a_time(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from wardloom.llm import toxicity
+
+    docs = spark.range(600).selectExpr("id as doc_id", "concat('some words of text number ', id, if(id % 3 = 0, ' idiot', ' fine')) as text")
+    labels = spark.range(600).selectExpr("id as doc_id", "int(id % 3 = 0) as toxic")
+    collected, real = [], Classic.toArrow
+    monkeypatch.setattr(Classic, "toArrow", lambda self: collected.append(real(self)) or collected[-1])
+    assert toxicity.fit(docs, labels, sample=100, labelled=60) is not None
+    sizes = [t.num_rows for t in collected]
+    assert sorted(sizes) == [100, 120]

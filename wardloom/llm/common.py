@@ -83,9 +83,14 @@ def batches(read: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterato
         for batch in read:
             yield from slices(batch, max_bytes)
     finally:
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-            trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that this process has freed, to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.llm.common import SEPARATORS, batches, shingle_hashes, utf8, word_hashes
-from wardloom.llm.sampling import held_out, sample_keys
+from wardloom.llm.sampling import among, held_out, sample_keys
 
 #: Positives, and unlabelled texts, to fit on, at most.
 SAMPLE = 6000
@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.record_batch([batch.column("key"), pa.array(rows, pa.list_(pa.float64()))], names=["key", "x"])
 
     kind = docs.schema[key].dataType.simpleString()
-    texts = docs.filter(F.col(key).isin(list({*good, *drawn}))).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = among(docs, key, {*good, *drawn}).select(F.col(key).alias("key"), F.col(text).alias("text"))
     found = texts.mapInArrow(measured, f"key {kind}, x array<double>").orderBy("key", "x").toArrow()
     keys, x = found.column("key").to_pylist(), np.array(found.column("x").to_pylist())
     positive, unlabelled = (x[[k in chosen for k in keys]] for chosen in (good, drawn))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,13 @@ def sample_keys(rows: DataFrame, key: str, label: str | None, divisor: int, held
     return {r["key"]: r["label"] for r in chosen.collect()}
 
 
+def among(rows: DataFrame, key: str, chosen: Iterable) -> DataFrame:
+    """The rows whose key is one of ``chosen``, which the plan holds as a table, not as one expression each."""
+    kind = rows.schema[key].dataType.simpleString()
+    keys = rows.sparkSession.createDataFrame([(k,) for k in chosen], f"chosen {kind}")
+    return rows.join(F.broadcast(keys), F.col(key) == F.col("chosen"), "left_semi")
+
+
 def held_out(key: Column, divisor: int, value: int) -> Column:
     """Whether a key's crc32 has that remainder; a null key is not held out."""
     return F.coalesce(remainder(key, divisor) == value, F.lit(False))

@@ -17,11 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.llm.common import SEPARATORS, batches, mix64, remainder, shingle_hashes, utf8, word_hashes
-from wardloom.llm.sampling import held_out, sample_keys
+from wardloom.llm.common import SEPARATORS, batches, give_back, mix64, remainder, shingle_hashes, utf8, word_hashes
+from wardloom.llm.sampling import among, held_out, sample_keys
 
 #: Texts to fit on, and labelled ones of either kind to find the lexicon in, at most; found entries of the lexicon of each
 #: kind, and words of the classifier.
@@ -220,7 +221,7 @@ def train(x: np.ndarray, target: np.ndarray, penalty: float = 1e-3, rounds: int
     return w[:-1], float(w[-1])
 
 
-def _in_parts(texts: pa.Array, part: int = 500) -> Iterator[tuple[int, pa.Array]]:
+def _in_parts(texts: pa.Array, part: int = 100) -> Iterator[tuple[int, pa.Array]]:
     for start in range(0, len(texts), part):
         yield start, texts.slice(start, part)
 
@@ -270,6 +271,16 @@ def learn(texts: pa.Array, voters: Voters, prior: float) -> Classifier:
     return Classifier(voters, chosen, weights, bias, model)
 
 
+def keyed_texts(docs: DataFrame, key: str, text: str, chosen: dict) -> tuple[list, pa.Array]:
+    """Keys and texts of the rows with one of the chosen keys, in their order; null texts are empty."""
+    rows = among(docs, key, chosen).select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # put in order here: to sort them, Spark would bring samples of the texts to the driver as well
+    found = rows.toArrow()
+    found = found.take(pc.sort_indices(found, sort_keys=[("key", "ascending"), ("text", "ascending")]))
+    texts = found.column("text").combine_chunks() if found.num_rows else pa.array([], pa.string())
+    return found.column("key").to_pylist(), texts
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -288,13 +299,15 @@ def fit(
     known = sample_keys(labels.select(key, F.col(label).cast("int").alias(label)), key, label, divisor, fold, labelled)
     usable = labels.filter((remainder(F.col(key), divisor) != fold) & F.col(label).isNotNull())
     share = usable.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    rows = docs.filter(F.col(key).isin(list({*drawn, *known}))).select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = rows.orderBy("key", "text").toArrow().combine_chunks()
-    keys = found.column("key").to_pylist()
-    texts = found.column("text").combine_chunks() if found.num_rows else pa.array([], pa.string())
-    marked, plain = ([k for k, x in enumerate(keys) if x in chosen] for chosen in (known, drawn))
-    voters = lexicon(texts.take(pa.array(marked, pa.int64())), np.array([known[keys[k]] for k in marked], np.float64))
-    return learn(texts.take(pa.array(plain, pa.int64())), voters, 0.1 if share is None else share)
+    # one kind of texts at a time, for the sake of the driver's memory
+    try:
+        keys, texts = keyed_texts(docs, key, text, known)
+        voters = lexicon(texts, np.array([known[k] for k in keys], np.float64))
+        del texts
+        give_back()
+        return learn(keyed_texts(docs, key, text, drawn)[1], voters, 0.1 if share is None else share)
+    finally:
+        give_back()
 
 
 def score(docs: DataFrame, model: Classifier | None, key: str = "doc_id", text: str = "text", divisor: int = 5, fold: int = 0) -> DataFrame:
