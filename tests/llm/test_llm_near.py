@@ -313,3 +313,18 @@ def test_queries_give_every_row(spark):
     eight = QUERIES["op8_embedding_dedup"](spark, folder)
     assert eight.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert QUERIES["op3_line_dedup"](spark, folder).columns == ["doc_id", "line_no", "kept", "kept_doc_id", "kept_line_no"]
+
+
+def test_line_sets_are_made_without_a_call_for_each_line(monkeypatch):
+    """np.unique of each line took most of the time of signing and comparing lines."""
+    rng = np.random.default_rng(3)
+    lines = ["".join(rng.choice(list("ab é😀x"), n)) for n in rng.integers(0, 60, 400)] + ["", None, "abc", "a" * 50]
+    hashes, first = line_dedup.shingles(pa.array(lines))
+    expected = [np.unique(hashes[a:b]).tolist() for a, b in zip(first, first[1:], strict=False)]
+    monkeypatch.setattr(np, "unique", None)
+    found = line_dedup._Sets(pa.array(lines))
+    assert [x.tolist() for x in found] == expected
+    some = [x for x in lines if x]
+    batch = pa.record_batch({"handle": list(range(len(some))), "id": [x.encode() for x in some], "line": some})
+    signed = pa.Table.from_batches(line_dedup._signed(iter([batch])))
+    assert signed.column("n").to_pylist() == [len(x) for x in expected if x]

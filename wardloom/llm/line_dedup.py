@@ -7,14 +7,16 @@ and position.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardloom.llm.common import batches, join_by_weight, likely, mix64, settle
+from wardloom.llm.common import batches, join_by_weight, likely, mix64, settle, utf8
 from wardloom.llm.lsh import bucket_numbers, similar
 from wardloom.llm.minhash import band_hashes
 
@@ -30,15 +32,18 @@ INK = r"(?U)\S"
 
 def shingles(lines: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``width`` characters from each position, and where each line's begin; a shorter line has one."""
-    points = "".join(texts := [t or "" for t in lines.to_pylist()]).encode("utf-32-le")
-    chars = np.frombuffer(points, np.uint32).astype(np.uint64) + np.uint64(1)
-    sizes = np.array([len(t) for t in texts], np.int64)
+    lines = lines.fill_null("")
+    sizes = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+    points = np.frombuffer(utf8(lines)[0].tobytes().decode().encode("utf-32-le"), np.uint32)
+    # the runs that begin at the last characters are no line's
+    chars = np.zeros(len(points) + width - 1, np.uint64)
+    np.add(points, np.uint64(1), out=chars[: len(points)])
     many = np.maximum(sizes - width + 1, np.minimum(sizes, 1))
     first = np.concatenate([[0], np.cumsum(many)])
     starts = np.cumsum(sizes) - sizes
-    rolled = _rolled(chars, width)
-    at = np.repeat(starts - first[:-1], many) + np.arange(first[-1])
-    hashes = mix64(rolled[at])
+    at = np.repeat(starts - first[:-1], many)
+    at += np.arange(first[-1])
+    hashes = mix64(_rolled(chars, width)[at])
     for k in np.flatnonzero((sizes > 0) & (sizes < width)):  # the whole line, by itself
         value = np.uint64(sizes[k])
         for c in chars[starts[k] : starts[k] + sizes[k]]:
@@ -48,14 +53,30 @@ def shingles(lines: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarra
 
 
 def _rolled(chars: np.ndarray, width: int) -> np.ndarray:
-    """Polynomials of the ``width`` characters from each position, made from those of half as many."""
+    """Polynomials of the ``width`` characters from each position that has so many, made from those of half as many."""
     if width == 1:
         return chars
-    half = _rolled(chars, width // 2)
-    rest = half if width % 2 == 0 else half * np.uint64(0x9E3779B97F4A7C15) + np.append(chars[width // 2 :], np.zeros(min(len(chars), width // 2), np.uint64))
-    base = np.uint64(pow(0x9E3779B97F4A7C15, width - width // 2, 1 << 64))
-    moved = np.append(rest[width // 2 :], np.zeros(min(len(chars), width // 2), np.uint64))
-    return half * base + moved
+    low, many = width // 2, len(chars) - width + 1
+    half = _rolled(chars, low)
+    base = np.uint64(pow(0x9E3779B97F4A7C15, width - low, 1 << 64))
+    made = half[:many] * base
+    if width % 2:
+        made += half[low : low + many] * np.uint64(0x9E3779B97F4A7C15)
+        made += chars[width - 1 :]
+    else:
+        made += half[low : low + many]
+    return made
+
+
+def sorted_sets(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes of each line, sorted, and where each line's begin."""
+    hashes = hashes.copy()
+    for a, b in itertools.pairwise(first.tolist()):
+        hashes[a:b].sort()
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[first[:-1][np.diff(first) > 0]] = True
+    return hashes[new], np.concatenate([[0], np.cumsum(new)])[first]
 
 
 def signatures(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
@@ -86,8 +107,8 @@ def _signed(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signed = signatures(hashes, first, BANDS * ROWS)
         buckets = bucket_numbers(band_hashes(signed, BANDS, ROWS))
         lists = pa.ListArray.from_arrays(np.arange(0, buckets.size + 1, BANDS, dtype=np.int32), buckets.ravel())
-        sizes = [len(np.unique(hashes[a:b])) for a, b in zip(first, first[1:], strict=False)]
-        sketch = pa.array([c.tobytes() for c in signed.astype(np.uint8)], pa.binary())
+        sizes = np.diff(sorted_sets(hashes, first)[1])
+        sketch = pa.array(signed.astype(np.uint8).view(f"V{signed.shape[1]}").ravel().tolist(), pa.binary())
         columns = [*(batch.column(c) for c in ("handle", "id", "line")), pa.array(sizes, pa.int64()), lists, sketch]
         yield pa.record_batch(columns, names=["handle", "id", "line", "n", "bands", "sketch"])
 
@@ -103,7 +124,10 @@ def _name(line: Column) -> Column:
 
 
 def _compared(least: int) -> Column:
-    return (F.length(F.trim("line")) >= least) & F.col("line").rlike(INK)
+    # nearly all lines show by their first character that they are not blank
+    begin = F.ascii(F.ltrim("line"))
+    inked = ((begin > 0x20) & (begin < 0x7F)) | F.col("line").rlike(INK)
+    return inked if least <= 1 else (F.length(F.trim("line")) >= least) & inked
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
@@ -134,11 +158,10 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
 
 
 class _Sets(Sequence):
-    """The shingle sets of lines, each sorted when it is asked for."""
+    """The shingle sets of lines, each sorted."""
 
     def __init__(self, lines: pa.Array) -> None:
-        self.hashes, self.first = shingles(lines)
-        self.made: dict[int, np.ndarray] = {}
+        self.values, self.first = sorted_sets(*shingles(lines))
 
     def __len__(self) -> int:
         return len(self.first) - 1
@@ -146,9 +169,7 @@ class _Sets(Sequence):
     def __getitem__(self, k: int) -> np.ndarray:
         if not 0 <= k < len(self):
             raise IndexError(k)
-        if k not in self.made:
-            self.made[k] = np.unique(self.hashes[self.first[k] : self.first[k + 1]])
-        return self.made[k]
+        return self.values[self.first[k] : self.first[k + 1]]
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
@@ -183,15 +204,14 @@ def rebuilt(docs: DataFrame, key: str, text: str, percent: int = 80, least: int
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, least: int = LEAST) -> DataFrame:
     """key, line_no, kept, kept_key and kept_line of every line: the line itself, or the one that stays for it."""
-    lines = _lines(docs, key, text).select("key", "version", "at")
+    feeds = F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
+    whole = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), feeds.alias("last")).filter("last IS NOT NULL")
     gone = removals(docs, key, text, percent, least).dropDuplicates(["key", "version", "at"])
-    gone = gone.select(F.col("key").alias("k"), F.col("version").alias("v"), F.col("at").alias("p"), "kept_key", "kept_at")
-    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v")) & (F.col("at") == F.col("p"))
-    lost = F.col("p").isNotNull()
-    return lines.join(gone, same, "left").select(
-        F.col("key").alias(key),
-        F.col("at").alias("line_no"),
-        (~lost).alias("kept"),
-        F.when(lost, F.col("kept_key")).otherwise(F.col("key")).alias("kept_key"),
-        F.when(lost, F.col("kept_at")).otherwise(F.col("at")).alias("kept_line"),
-    )
+    gone = gone.groupBy(F.col("key").alias("k"), F.col("version").alias("v"))
+    gone = gone.agg(F.collect_list(F.struct("at", F.lit(False).alias("kept"), "kept_key", "kept_at")).alias("gone"))
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v"))
+    every = F.sequence(F.lit(0), "last")
+    left = F.when(F.col("gone").isNull(), every).otherwise(F.array_except(every, F.col("gone.at")))
+    own = F.transform(left, lambda at: F.struct(at.alias("at"), F.lit(True).alias("kept"), F.col("key").alias("kept_key"), at.alias("kept_at")))
+    joined = whole.join(gone, same, "left").select("key", F.inline(F.when(F.col("gone").isNull(), own).otherwise(F.concat(own, "gone"))))
+    return joined.select(F.col("key").alias(key), F.col("at").alias("line_no"), "kept", F.col("kept_key"), F.col("kept_at").alias("kept_line"))

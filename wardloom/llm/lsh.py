@@ -26,8 +26,8 @@ from wardloom.llm.components import components
 BLOCK, COPIES = 512, 16
 #: The last bits of a bucket's number say of which band it is.
 BAND_BITS = 6
-#: Pairs of a cell whose sketches are compared at once.
-AT_ONCE = 1 << 12
+#: Pairs of a cell whose sketches are compared at once; cells of so few sets are compared together, so many pairs at once.
+AT_ONCE, SMALL, TOGETHER = 1 << 12, 64, 1 << 15
 
 Sets = Callable[[pa.Array], Sequence[np.ndarray]]
 
@@ -63,7 +63,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, data: str, unpack: Sets, perce
 
 
 def _shared(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """bucket, handle and leader (the least handle) of the sets of buckets that hold several; rows come in order."""
+    """bucket, handle and leader (one of the handles) of the sets of buckets that hold several; rows come in order of buckets."""
 
     run_bucket, run_leader, run_size = None, None, 0
     for batch in read:
@@ -72,7 +72,7 @@ def _shared(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         sizes = np.diff(np.append(starts, len(bucket)))
-        leader = np.repeat(handle[starts], sizes)
+        leader = np.repeat(np.minimum.reduceat(handle, starts), sizes)
         keep = np.repeat(sizes > 1, sizes)
         keep[starts[-1] :] = False  # the last run may go on in the next batch
         first_end = int(sizes[0])
@@ -84,7 +84,7 @@ def _shared(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 extra.append((run_bucket, run_leader, run_leader))
         # the last run: rows beyond the first of it are known to share their bucket
         if len(starts) > 1 or run_bucket != bucket[0]:
-            run_bucket, run_leader, run_size = int(bucket[-1]), int(handle[starts[-1]]), int(sizes[-1])
+            run_bucket, run_leader, run_size = int(bucket[-1]), int(leader[-1]), int(sizes[-1])
             if run_size > 1:
                 keep[starts[-1] :] = True
         else:
@@ -104,7 +104,8 @@ def similar(banded: DataFrame, fetch: Callable[[DataFrame], DataFrame], data: st
     the last byte of each coordinate of the signature; all are of one length) and ``data``; ``unpack`` turns a column of ``data``
     into sorted arrays of distinct values.
     """
-    dealt = banded.select("bucket", "handle").repartition("bucket").sortWithinPartitions("bucket", "handle")
+    # in the order of one number alone, which Spark sorts by its digits
+    dealt = banded.select("bucket", "handle").repartition("bucket").sortWithinPartitions("bucket")
     crowded = settle(dealt.mapInArrow(_shared, "bucket long, handle long, leader long"))
     stars = crowded.filter("handle <> leader").select(F.col("handle").alias("a"), F.col("leader").alias("b")).distinct()
     sets = settle(fetch(crowded.select("handle").distinct()))
@@ -217,6 +218,40 @@ def _compared(meetings: DataFrame, sets: DataFrame, data: str, unpack: Sets, per
                     label[label == label[b]] = label[a]
                     yield ids[at + a].as_py(), ids[at + b].as_py()
 
+    def compare_small(column: dict[str, pa.Array], starts: np.ndarray, ends: np.ndarray, label: np.ndarray, n: np.ndarray, side: np.ndarray, bucket: np.ndarray, bands: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+        """As ``compare``, for many small cells at once; label: all of them, changed as sets are linked."""
+        p, size = percent / 100, sketch.shape[1]
+        least = size * (p - 4 * np.sqrt(p * (1 - p) / max(size, 1)))
+        sizes = ends - starts
+        cell = np.repeat(np.arange(len(starts)), sizes)
+        row = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(len(cell))
+        single = np.minimum.reduceat(side[row], np.cumsum(sizes) - sizes) == np.maximum.reduceat(side[row], np.cumsum(sizes) - sizes)
+        later = ends[cell] - row - 1  # the sets of its cell that a set is held against
+        cuts = np.flatnonzero(np.diff(np.cumsum(later) // TOGETHER)) + 1
+        for own in np.split(np.arange(len(row)), cuts):
+            many = later[own]
+            i = np.repeat(row[own], many)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+            fit = (label[i] != label[j]) & (100 * n[i] >= percent * n[j]) & (100 * n[j] >= percent * n[i])
+            of = np.repeat(cell[own], many)
+            fit &= single[of] | (side[i] != side[j])
+            i, j, of = i[fit], j[fit], of[fit]
+            same = (sketch[i] == sketch[j]).sum(1)
+            agree = bands[i] == bands[j]
+            here = bands[i, agree.argmax(1)] == bucket[i] if len(i) else np.zeros(0, bool)
+            likely = np.flatnonzero((same >= least) & here)
+            likely = likely[np.argsort(-same[likely], kind="stable")]
+            if not len(likely):
+                continue
+            i, j, of = i[likely], j[likely], of[likely]
+            needed, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+            values = unpack(column[data].take(pa.array(needed)))
+            for a, b, x, y, c in zip(i.tolist(), j.tolist(), at[: len(i)].tolist(), at[len(i) :].tolist(), of.tolist(), strict=True):
+                if label[a] != label[b] and _linked(values[x], values[y], percent):
+                    mates = label[starts[c] : ends[c]]
+                    mates[mates == label[b]] = label[a]
+                    yield column["id"][a].as_py(), column["id"][b].as_py()
+
     def run(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def said(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch, int]:
             """Links of the whole cells of ``rows``, and where the last one, which may go on, begins."""
@@ -238,11 +273,17 @@ def _compared(meetings: DataFrame, sets: DataFrame, data: str, unpack: Sets, per
                     unpacked.append(unpack(column[data]))
                 return unpacked[0][k]
 
+            upto = int(ends[-1]) if len(ends) else 0
+            if len(starts):
+                mixed = np.minimum.reduceat(label[:upto], starts) != np.maximum.reduceat(label[:upto], starts)
+                small = mixed & (ends - starts <= SMALL)
+                if small.any():
+                    found.extend(compare_small(column, starts[small], ends[small], label, n, side, bucket, bands, sketch))
+                starts, ends = starts[mixed & ~small], ends[mixed & ~small]
             for x, y in zip(starts.tolist(), ends.tolist(), strict=True):
-                if y - x > 1 and not (label[x:y] == label[x]).all():
-                    found.extend(compare(column["id"], x, values, label[x:y], n[x:y], side[x:y], bucket[x], bands[x:y], sketch[x:y]))
+                found.extend(compare(column["id"], x, values, label[x:y], n[x:y], side[x:y], bucket[x], bands[x:y], sketch[x:y]))
             made = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
-            return pa.record_batch(made, names=["id_a", "id_b"]), int(ends[-1]) if len(ends) else 0
+            return pa.record_batch(made, names=["id_a", "id_b"]), upto
 
         held: pa.Table | None = None
         for batch in batches(read, 2 << 20):
