@@ -17,13 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.llm.common import batches, join_by_weight, likely, mix64, settle, utf8
-from wardloom.llm.lsh import bucket_numbers, similar
+from wardloom.llm.lsh import DEALT, bucket_numbers, dealt, parts_of, similar
 from wardloom.llm.minhash import band_hashes
 
 #: Characters of a shingle; bands and rows: at a similarity of 0.8, one pair in 550 shares no band; at 0.9, one in 10**5.
 WIDTH, BANDS, ROWS = 7, 12, 4
 #: Bytes of lines that are hashed at once: what comes of them stays in the cache of a core.
-SLICE = 1 << 18
+SLICE = 1 << 17
 #: Shorter lines are left alone: none but blank ones. Those under WIDTH have one shingle, so only equal ones are linked.
 LEAST = 1
 #: What a line holds that is not blank: anything but white space, as Unicode has it.
@@ -34,16 +34,17 @@ def shingles(lines: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarra
     """Hashes of the ``width`` characters from each position, and where each line's begin; a shorter line has one."""
     lines = lines.fill_null("")
     sizes = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
-    points = np.frombuffer(utf8(lines)[0].tobytes().decode().encode("utf-32-le"), np.uint32)
+    raw = utf8(lines)[0]
+    points = raw if len(raw) == sizes.sum() else np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
     # the runs that begin at the last characters are no line's
     chars = np.zeros(len(points) + width - 1, np.uint64)
     np.add(points, np.uint64(1), out=chars[: len(points)])
-    many = np.maximum(sizes - width + 1, np.minimum(sizes, 1))
-    first = np.concatenate([[0], np.cumsum(many)])
+    first = np.concatenate([[0], np.cumsum(np.maximum(sizes - width + 1, np.minimum(sizes, 1)))])
     starts = np.cumsum(sizes) - sizes
-    at = np.repeat(starts - first[:-1], many)
-    at += np.arange(first[-1])
-    hashes = mix64(_rolled(chars, width)[at])
+    begins = np.ones(len(points), bool)
+    for k in range(1, width):
+        begins[(starts + sizes - k)[sizes > k]] = False
+    hashes = mix64(_rolled(chars, width)[begins])
     for k in np.flatnonzero((sizes > 0) & (sizes < width)):  # the whole line, by itself
         value = np.uint64(sizes[k])
         for c in chars[starts[k] : starts[k] + sizes[k]]:
@@ -91,13 +92,11 @@ def signatures(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
     return made
 
 
-def _flat(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """handle and bucket, a row for each band of each line."""
+def _banded(read: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The handles of lines, and their buckets."""
     for batch in batches(read, SLICE):
         signed = signatures(*shingles(batch.column("line")), BANDS * ROWS)
-        buckets = bucket_numbers(band_hashes(signed, BANDS, ROWS))
-        handles = np.repeat(batch.column("handle").to_numpy(), BANDS)
-        yield pa.record_batch([pa.array(handles), pa.array(buckets.ravel())], names=["handle", "bucket"])
+        yield batch.column("handle").to_numpy(), bucket_numbers(band_hashes(signed, BANDS, ROWS))
 
 
 def _signed(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,11 +139,12 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", percent:
         signed = "handle long, id binary, line string, n long, bands array<long>, sketch binary"
         return found.join(handles, "handle", "left_semi").mapInArrow(_signed, signed)
 
-    banded = distinct.select("handle", "line").mapInArrow(_flat, "handle long, bucket long")
+    parts = parts_of(distinct.count() * BANDS)
+    banded = distinct.select("handle", "line").mapInArrow(lambda read: dealt(_banded(read), parts), DEALT)
     roots = similar(banded, fetch, "line", _Sets, percent)
     # lines that occur once and resemble no other need no more looking at
-    joined = distinct.select("id", "times").join(roots, "id", "left")
-    doubtful = settle(joined.filter("times > 1 OR root IS NOT NULL").select("id", F.coalesce("root", "id").alias("root")))
+    repeated = distinct.filter("times > 1").select("id")
+    doubtful = settle(repeated.join(roots, "id", "full").select("id", F.coalesce("root", "id").alias("root")))
     places = lines.select("key", "version", "at", _name(F.col("line")).alias("id"))
     placed = settle(places.join(doubtful, "id"))
     kept = placed.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "version", "at")).alias("kept"), F.count("*").alias("many"))

@@ -11,7 +11,9 @@ change the components is found, and all are confirmed on whole sets.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import itertools
+import operator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardloom.llm.common import batches, mix64, settle
+from wardloom.llm.common import batches, mix64, settle, slices
 from wardloom.llm.components import components
 
 #: Sets of a block; copies of a set, for as many cells, up to which a bucket is compared without looking for another way.
 BLOCK, COPIES = 512, 16
 #: The last bits of a bucket's number say of which band it is.
 BAND_BITS = 6
+#: Rows of bands in a part, about, and those that a task deals out, or holds of one part, at once; columns of what is dealt.
+PART, DEALT_AT_ONCE = 1 << 15, 1 << 19
+DEALT = "part long, bucket array<long>, handle array<long>"
 #: Pairs of a cell whose sketches are compared at once; cells of so few sets are compared together, so many pairs at once.
 AT_ONCE, SMALL, TOGETHER = 1 << 12, 64, 1 << 15
 
@@ -62,53 +67,115 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, data: str, unpack: Sets, perce
     return joined.mapInArrow(run, "id_a binary, id_b binary")
 
 
-def _shared(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """bucket, handle and leader (one of the handles) of the sets of buckets that hold several; rows come in order of buckets."""
+def parts_of(rows: int) -> int:
+    """How many parts the numbers of buckets are cut into, for so many rows of bands: a power of two."""
+    return 1 << max(0, (rows // PART).bit_length())
 
-    run_bucket, run_leader, run_size = None, None, 0
+
+def dealt(read: Iterable[tuple[np.ndarray, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
+    """part, bucket and handle (lists of one length): the bands of sets, from their handles and ``bucket_numbers``.
+
+    Equal buckets are in one part. A row holds what many sets have there, so that Spark shuffles few rows.
+    """
+
+    def made() -> Iterator[pa.RecordBatch]:
+        handle = np.repeat(np.concatenate(handles), buckets[0].shape[1])
+        bucket = np.concatenate([b.ravel() for b in buckets])
+        part = (bucket >> BAND_BITS) & (parts - 1)
+        order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+        part = part[order]
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        ends = pa.array(np.append(starts, len(part)), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (bucket, handle)]
+        yield from slices(pa.record_batch([pa.array(part[starts]), *lists], names=["part", "bucket", "handle"]), 1 << 22)
+
+    handles, buckets, rows = [], [], 0
+    for handle, bucket in read:
+        if not bucket.size:
+            continue
+        handles.append(handle)
+        buckets.append(bucket)
+        rows += bucket.size
+        if rows >= DEALT_AT_ONCE:
+            yield from made()
+            handles, buckets, rows = [], [], 0
+    if rows:
+        yield from made()
+
+
+def _shared(read: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket, handle and leader (one of the handles) of the sets of buckets that hold several; rows come in any order.
+
+    Of earlier batches, each bucket and its leader are remembered, however many sets it holds.
+    """
+    known = leaders = np.zeros(0, np.int64)
+    told = np.zeros(0, bool)  # of a known bucket, that it holds several
     for batch in read:
-        bucket, handle = batch.column("bucket").to_numpy(), batch.column("handle").to_numpy()
-        if not len(bucket):
+        if not batch.num_rows:
             continue
+        old = len(known)
+        bucket = np.concatenate([known, batch.column("bucket").to_numpy()])
+        handle = np.concatenate([leaders, batch.column("handle").to_numpy()])
+        fresh = np.concatenate([~told, np.ones(batch.num_rows, bool)])
+        order = np.argsort(bucket, kind="stable" if old else None)  # what is known comes first
+        bucket, handle, fresh = bucket[order], handle[order], fresh[order]
         starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         sizes = np.diff(np.append(starts, len(bucket)))
-        leader = np.repeat(np.minimum.reduceat(handle, starts), sizes)
-        keep = np.repeat(sizes > 1, sizes)
-        keep[starts[-1] :] = False  # the last run may go on in the next batch
-        first_end = int(sizes[0])
-        extra: list[tuple[int, int, int]] = []
-        if run_bucket == bucket[0]:
-            leader[:first_end] = run_leader
-            keep[:first_end] = True
-            if run_size == 1:
-                extra.append((run_bucket, run_leader, run_leader))
-        # the last run: rows beyond the first of it are known to share their bucket
-        if len(starts) > 1 or run_bucket != bucket[0]:
-            run_bucket, run_leader, run_size = int(bucket[-1]), int(leader[-1]), int(sizes[-1])
-            if run_size > 1:
-                keep[starts[-1] :] = True
-        else:
-            run_size += first_end
-        columns = [x[keep] for x in (bucket, handle, leader)]
-        if extra:
-            columns = [np.append(c, v) for c, v in zip(columns, extra[0], strict=True)]
-        if len(columns[0]):
-            yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["bucket", "handle", "leader"])
+        known, leaders = bucket[starts], np.where(order[starts] < old, handle[starts], np.minimum.reduceat(handle, starts))
+        told = ~fresh[starts] | (sizes > 1)
+        keep = fresh & np.repeat(sizes > 1, sizes)
+        if keep.any():
+            columns = [bucket[keep], handle[keep], np.repeat(leaders, sizes)[keep]]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["bucket", "handle", "leader"])
+
+
+def _crowded(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_shared`` of what comes in lists, in the order of parts."""
+
+    def pieces() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches(read):
+            part = batch.column("part").to_numpy()
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for a, b in itertools.pairwise(cuts):
+                if a < b:
+                    rows = batch.slice(a, b - a)
+                    yield int(part[a]), pa.record_batch([rows.column(c).flatten() for c in ("bucket", "handle")], names=["bucket", "handle"])
+
+    def joined(of_part: Iterator[tuple[int, pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for _, piece in of_part:
+            held.append(piece)
+            rows += piece.num_rows
+            if rows >= DEALT_AT_ONCE:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, rows = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    for _, of_part in itertools.groupby(pieces(), operator.itemgetter(0)):
+        yield from _shared(joined(of_part))
+
+
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many bytes of each row of ``x`` are those of ``y``."""
+    same = x == y
+    if same.shape[1] % 8 or not 0 < same.shape[1] < 256:
+        return same.sum(1)
+    # eight counts of at most 255 in one number, whose sum ends up in the first byte
+    return ((same.view(np.uint64).sum(1) * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64)
 
 
 def similar(banded: DataFrame, fetch: Callable[[DataFrame], DataFrame], data: str, unpack: Sets, percent: int = 80) -> DataFrame:
     """id, root of the sets that are linked to others, directly or through others.
 
-    ``banded``: handle (long, a hash of a set's id) and bucket, a row for each band; see ``bucket_numbers``. ``fetch``
-    gives, for a table of handles, handle, id (binary, distinct), n (size of the set), bands (its buckets), sketch (binary,
+    ``banded``: the bands of all sets as ``dealt`` gives them, by handle (long, a hash of a set's id). ``fetch`` gives, for a table of handles, handle, id (binary, distinct), n (size of the set), bands (its buckets), sketch (binary,
     the last byte of each coordinate of the signature; all are of one length) and ``data``; ``unpack`` turns a column of ``data``
     into sorted arrays of distinct values.
     """
-    # in the order of one number alone, which Spark sorts by its digits
-    dealt = banded.select("bucket", "handle").repartition("bucket").sortWithinPartitions("bucket")
-    crowded = settle(dealt.mapInArrow(_shared, "bucket long, handle long, leader long"))
+    parted = banded.repartition("part").sortWithinPartitions("part")
+    crowded = settle(parted.mapInArrow(_crowded, "bucket long, handle long, leader long"))
     stars = crowded.filter("handle <> leader").select(F.col("handle").alias("a"), F.col("leader").alias("b")).distinct()
-    sets = settle(fetch(crowded.select("handle").distinct()))
+    sets = settle(fetch(settle(crowded.select("handle").distinct())))
     links = settle(_confirmed(stars, sets, data, unpack, percent))
 
     # sets that are linked with one leader need no comparing with each other
@@ -206,7 +273,7 @@ def _compared(meetings: DataFrame, sets: DataFrame, data: str, unpack: Sets, per
                 fit &= side[mine, None] != side[None, :]
             i, j = np.nonzero(fit)
             i = mine[i]
-            same = (sketch[i] == sketch[j]).sum(1)
+            same = _agreeing(sketch[i], sketch[j])
             likely = np.flatnonzero(same >= least)
             likely = likely[np.argsort(-same[likely], kind="stable")]
             i, j = i[likely], j[likely]
@@ -236,10 +303,10 @@ def _compared(meetings: DataFrame, sets: DataFrame, data: str, unpack: Sets, per
             of = np.repeat(cell[own], many)
             fit &= single[of] | (side[i] != side[j])
             i, j, of = i[fit], j[fit], of[fit]
-            same = (sketch[i] == sketch[j]).sum(1)
-            agree = bands[i] == bands[j]
-            here = bands[i, agree.argmax(1)] == bucket[i] if len(i) else np.zeros(0, bool)
-            likely = np.flatnonzero((same >= least) & here)
+            same = _agreeing(sketch[i], sketch[j])
+            likely = np.flatnonzero(same >= least)
+            agree = bands[i[likely]] == bands[j[likely]]
+            likely = likely[bands[i[likely], agree.argmax(1)] == bucket[i[likely]]] if len(likely) else likely
             likely = likely[np.argsort(-same[likely], kind="stable")]
             if not len(likely):
                 continue

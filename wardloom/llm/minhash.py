@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardloom.llm.common import batches, mix64, settle, shingle_hashes, utf8, word_hashes
-from wardloom.llm.lsh import bucket_numbers, similar
+from wardloom.llm.lsh import DEALT, bucket_numbers, dealt, parts_of, similar
 
 #: Bands and rows: at a similarity of 0.8, one pair in 300,000 shares no band.
 BANDS, ROWS = 32, 5
@@ -124,7 +124,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         # a key that comes with several texts finds sets that nobody asked for, and equal ones
         return sets.dropDuplicates(["id"]).join(wanted.drop("least"), "id")
 
-    roots = similar(classes.select("handle", F.explode("bands").alias("bucket")), fetch, "set", _unpacked, percent)
+    parts = parts_of(classes.count() * BANDS)
+
+    def banded(read: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = ((b.column("handle").to_numpy(), b.column("bands").flatten().to_numpy().reshape(-1, BANDS)) for b in batches(read))
+        yield from dealt(lists, parts)
+
+    roots = similar(classes.select("handle", "bands").mapInArrow(banded, DEALT), fetch, "set", _unpacked, percent)
     joined = classes.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = joined.groupBy("root").agg(F.min("least").alias("component"))
     found = settle(joined.join(least, "root").select("id", "component"))
